@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from ..functions.columns import as_list, quoted
 
 
+def row_tie(df: DataFrame) -> Column:
+    """A number that settles between rows of one key; equal rows have equal ones."""
+    return F.xxhash64(*[quoted(c) for c in df.columns])
+
+
 def total_order(df: DataFrame, order: Sequence[str | Column] = ()) -> list[Column]:
-    """``order`` followed by the columns it does not name, so ties are equal rows."""
-    given = [quoted(o) if isinstance(o, str) else o for o in order]
-    named = {o for o in order if isinstance(o, str)}
-    return given + [quoted(c) for c in df.columns if c not in named]
+    """``order``, then the hash of the whole row, so that only equal rows tie."""
+    return [*[quoted(o) if isinstance(o, str) else o for o in order], row_tie(df)]
 
 
 def keep_first(df: DataFrame, keys: str | Iterable[str], order: Sequence[str | Column]) -> DataFrame:
@@ -53,8 +56,28 @@ def flag_first(
     )
 
 
+def one_per_key(
+    df: DataFrame, keys: str | Iterable[str], count_as: str | None = None
+) -> DataFrame:
+    """:func:`keep_first` for the order of :func:`total_order` alone, without sorting.
+
+    With columns of fixed width it runs as a hash aggregate that combines on the map
+    side, and columns nobody asks for are not carried along. ``count_as`` adds the
+    number of rows the key had.
+    """
+    keys = as_list(keys)
+    rest = [c for c in df.columns if c not in keys]
+    firsts = [F.min_by(quoted(c), F.col("__tie")).alias(c) for c in rest]
+    rows = F.count(F.lit(1)).alias(count_as or "__rows")
+    grouped = df.withColumn("__tie", row_tie(df)).groupBy(*[quoted(k) for k in keys])
+    counted = [count_as] if count_as else []
+    return grouped.agg(*firsts, rows).select(*[quoted(c) for c in df.columns], *counted)
+
+
 def dedup_by_hash(
     df: DataFrame, hash_column: str = "row_hash", order: Sequence[str | Column] = ()
 ) -> DataFrame:
     """One row per hash. Rows that share a hash but differ are settled by ``order``."""
-    return keep_first(df, hash_column, total_order(df, order))
+    if order:
+        return keep_first(df, hash_column, total_order(df, order))
+    return one_per_key(df, hash_column)

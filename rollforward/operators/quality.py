@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import any_null, as_list, quoted
-from .first import flag_first, keep_first, total_order
+from .first import flag_first, keep_first, one_per_key, total_order
 
 # What stands in ``reject_reason``.
 NULL_PREFIX = "null:"
@@ -25,7 +25,7 @@ class Rules:
     """What makes a row clean.
 
     ``required`` columns hold no NULL; of rows with one ``key`` the first in
-    ``order`` stays (ties are settled by the other columns). ``full_duplicates``:
+    ``order`` stays (ties are settled by a hash of the row). ``full_duplicates``:
     ``keep_one`` rejects all but one copy of equal rows; ``drop_all`` takes every
     copy out of the clean rows and rejects one; ``off`` has no such rule, so copies
     count as key duplicates. ``identity`` names columns that stand for the full row.
@@ -62,38 +62,25 @@ def not_null(df: DataFrame, required: Iterable[str]) -> DataFrame:
     return df.filter(~any_null(required))
 
 
-def unduplicated(df: DataFrame, identity: Iterable[str] | None = None) -> DataFrame:
+def unduplicated(df: DataFrame, identity: Iterable[str] = ()) -> DataFrame:
     """Rows that occur once; every copy of a repeated row is gone."""
-    if identity is None:
-        columns = [quoted(c) for c in df.columns]
-        counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
-        return counted.filter(F.col("__n") == 1).drop("__n")
-    return _split_copies(df, list(identity)).filter(F.col("__n") == 1).drop("__n")
+    counted = one_per_key(df, list(identity) or df.columns, count_as="__n")
+    return counted.filter(F.col("__n") == 1).drop("__n")
 
 
-def duplicated(df: DataFrame, identity: Iterable[str] | None = None) -> DataFrame:
+def duplicated(df: DataFrame, identity: Iterable[str] = ()) -> DataFrame:
     """One copy of each row that occurs more than once."""
-    if identity is None:
-        columns = [quoted(c) for c in df.columns]
-        counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
-        return counted.filter(F.col("__n") > 1).drop("__n")
-    return _split_copies(df, list(identity)).filter(F.col("__n") > 1).drop("__n")
-
-
-def _split_copies(df: DataFrame, identity: list[str]) -> DataFrame:
-    """One row per identity with the number of its copies as ``__n``."""
-    keys = [quoted(c) for c in identity]
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return keep_first(df, identity, total_order(df)).join(counts, identity).select(
-        *[quoted(c) for c in df.columns], "__n"
-    )
+    counted = one_per_key(df, list(identity) or df.columns, count_as="__n")
+    return counted.filter(F.col("__n") > 1).drop("__n")
 
 
 def clean(df: DataFrame, rules: Rules) -> DataFrame:
     """The rows to keep."""
     kept = not_null(df, rules.required)
     if rules.full_duplicates == DROP_ALL:
-        kept = unduplicated(kept, rules.identity or None)
+        kept = unduplicated(kept, rules.identity)
+    if not rules.order:
+        return one_per_key(kept, rules.key)
     return keep_first(kept, rules.key, total_order(kept, rules.order))
 
 
@@ -109,7 +96,7 @@ def rejected(df: DataFrame, rules: Rules) -> DataFrame:
     else:
         pool = kept
         if rules.full_duplicates == DROP_ALL:
-            pool = unduplicated(kept, rules.identity or None)
+            pool = unduplicated(kept, rules.identity)
         marked = flag_first(pool, rules.key, order, "__first")
         reason = F.when(~F.col("__first"), DUPLICATE_KEY)
     repeats = marked.withColumn("reject_reason", reason).filter(
@@ -118,7 +105,7 @@ def rejected(df: DataFrame, rules: Rules) -> DataFrame:
     names = [*[quoted(c) for c in df.columns], F.col("reject_reason")]
     result = null_rejects(df, rules.required).unionByName(repeats.select(*names))
     if rules.full_duplicates == DROP_ALL:
-        copies = duplicated(kept, rules.identity or None)
+        copies = duplicated(kept, rules.identity)
         result = result.unionByName(copies.withColumn("reject_reason", F.lit(FULL_DUPLICATE)))
     return result
 

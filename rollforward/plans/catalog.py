@@ -112,19 +112,18 @@ def event_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_circuits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem as raw text columns _c1 .. _c16, a few ids unreadable."""
+    """lineitem as raw text columns _c1 .. _c16, zero discounts unreadable."""
     li = table(spark, sf_dir, "lineitem")
-    unreadable = F.col("l_orderkey") % 101 == 0
-    part = F.when(unreadable, "bad").otherwise(F.col("l_partkey").cast("string"))
+    discount = F.col("l_discount")
     fields = [
-        part,
+        "l_partkey",
         "l_linenumber",
         "l_linestatus",
         "l_returnflag",
         "l_linenumber",
         "l_suppkey",
         "l_extendedprice",
-        "l_discount",
+        F.when(discount == 0, "none").otherwise(discount.cast("string")),
         "l_returnflag",
         "l_suppkey",
         "l_quantity",
@@ -281,9 +280,14 @@ def q_merge_update_all(spark, sf_dir):
     )
 
 
+def _text(df: DataFrame, *names: str):
+    return [df[name].cast("string").alias(name) for name in names]
+
+
 def q_upsert_fold(spark, sf_dir):
     loads = daily_states(spark, sf_dir).withColumn("row_hash", row_hash(["v"]))
-    return fold_keyed(loads, "k", "seq").select("k", "v", "load_seq", "updated_seq")
+    folded = fold_keyed(loads, "k", "seq")
+    return folded.select("k", "v", *_text(folded, "load_seq", "updated_seq"))
 
 
 def q_insert_only_fold(spark, sf_dir):
@@ -291,7 +295,8 @@ def q_insert_only_fold(spark, sf_dir):
     loads = events.select(
         row_hash(["user_id", "event_type"]).alias("row_hash"), F.to_date("ts").alias("seq")
     )
-    return fold_insert_only(loads, "seq").select("row_hash", "load_seq")
+    first = fold_insert_only(loads, "seq")
+    return first.select("row_hash", *_text(first, "load_seq"))
 
 
 def q_ingest_keyed(spark, sf_dir):
@@ -352,7 +357,8 @@ def q_conform_summary(spark, sf_dir):
 def q_pk_violations(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     keyed = li.select(F.when(F.col("l_orderkey") % 97 != 0, F.col("l_orderkey")).alias("k"))
-    return quality.pk_violations(keyed, "k")
+    found = quality.pk_violations(keyed, "k")
+    return found.select("violation", *_text(found, "k"), "n")
 
 
 def q_dq_null_rejects(spark, sf_dir):
@@ -418,7 +424,8 @@ def _with_ids(spark, sf_dir):
 def q_latest_with_ties(spark, sf_dir):
     rows = quality.not_null(circuits(spark, sf_dir), ["circuit_id"])
     rows = rows.select("circuit_id", "section_id", "f_hca_date", "row_hash")
-    return latest_with_ties(rows, "circuit_id", "f_hca_date")
+    latest = latest_with_ties(rows, "circuit_id", "f_hca_date")
+    return latest.select("circuit_id", *_text(latest, "section_id"), "f_hca_date", "row_hash")
 
 
 def q_circuit_rollup(spark, sf_dir):

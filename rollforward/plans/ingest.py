@@ -15,7 +15,7 @@ from ..functions.conform import conform_schema, with_load_stamps
 from ..functions.hashing import with_row_hash
 from ..operators import changes, merge
 from ..operators.files import LOAD_LOG_SCHEMA, file_fingerprints, log_rows, new_files
-from ..operators.first import keep_first, total_order
+from ..operators.first import one_per_key
 from ..operators.fold import fold_insert_only, fold_keyed
 from ..operators.quality import pk_violations
 from ..sources.delimited import list_files, read_csv
@@ -47,11 +47,8 @@ def select_loads(
     prints = file_fingerprints(rows, FILE_COLUMNS, hash_column, files)
     accepted = new_files(prints, log, [F.col(c) for c in reversed(FILE_COLUMNS)])
     kept = rows.join(accepted.select(*FILE_COLUMNS), list(FILE_COLUMNS), "left_semi")
-    distinct = keep_first(
-        kept.select(*[quoted(c) for c in rows.columns]),
-        ["file_name", hash_column],
-        total_order(rows),
-    )
+    kept = kept.select(*[quoted(c) for c in rows.columns])
+    distinct = one_per_key(kept, ["file_name", hash_column])
     place = F.struct("file_time", "file_name")
     return Loads(accepted, distinct.withColumn("load_order", place).drop(*FILE_COLUMNS))
 

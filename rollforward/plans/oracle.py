@@ -152,9 +152,13 @@ SELECT coalesce(s.l_partkey, t.l_partkey) AS l_partkey,
        coalesce(s.l_linenumber, t.l_linenumber) AS l_linenumber, coalesce(s.q, t.q) AS q
 FROM t FULL OUTER JOIN s ON t.l_partkey = s.l_partkey AND t.l_linenumber = s.l_linenumber
 """,
-    "upsert_fold": DAILY + "SELECT k, v, load_seq, updated_seq FROM fold",
+    "upsert_fold": DAILY + """
+SELECT k, v, CAST(load_seq AS VARCHAR) AS load_seq, CAST(updated_seq AS VARCHAR) AS updated_seq
+FROM fold
+""",
     "insert_only_fold": """
-SELECT sha256(concat_ws('||', user_id, event_type)) AS row_hash, min(CAST(ts AS DATE)) AS load_seq
+SELECT sha256(concat_ws('||', user_id, event_type)) AS row_hash,
+       CAST(min(CAST(ts AS DATE)) AS VARCHAR) AS load_seq
 FROM events GROUP BY 1
 """,
     "ingest_keyed": DAILY + """
@@ -171,10 +175,11 @@ SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS load_datetime,
        strftime(ts, '%Y-%m-%d %H:%M:%S') AS updated_datetime FROM events
 """,
     "rename_cast": """
-SELECT TRY_CAST(CASE WHEN l_orderkey % 101 = 0 THEN 'bad' ELSE CAST(l_partkey AS VARCHAR) END AS BIGINT) AS CIRCUIT_ID,
+SELECT TRY_CAST(CAST(l_partkey AS VARCHAR) AS BIGINT) AS CIRCUIT_ID,
   CAST(l_linenumber AS INTEGER) AS NUM_PHASES, l_linestatus AS OVERUNDER,
   l_returnflag AS PHASES_PRESENT, CAST(l_linenumber AS BIGINT) AS SECTION_ID,
-  l_suppkey AS N_FEEDER_ID, l_extendedprice AS N_VOLTAGE_KV, l_discount AS N_MAX_HC,
+  l_suppkey AS N_FEEDER_ID, l_extendedprice AS N_VOLTAGE_KV,
+  TRY_CAST(CASE WHEN l_discount = 0 THEN 'none' ELSE CAST(l_discount AS VARCHAR) END AS DOUBLE) AS N_MAX_HC,
   l_returnflag AS N_MAP_COLOR, l_suppkey AS F_FEEDER_ID, l_quantity AS F_VOLTAGE_KV,
   l_discount AS F_MAX_HC, l_tax AS F_MIN_HC,
   TRY_CAST(CAST(l_shipdate AS VARCHAR) AS TIMESTAMP) AS F_HCA_DATE,
@@ -196,7 +201,8 @@ SELECT l_partkey AS CIRCUIT_ID, l_quantity AS F_VOLTAGE_KV, CAST(NULL AS DOUBLE)
 FROM lineitem
 """,
     "pk_violations": """
-SELECT CASE WHEN k IS NULL THEN 'null_key' ELSE 'duplicate_key' END AS violation, k, n FROM (
+SELECT CASE WHEN k IS NULL THEN 'null_key' ELSE 'duplicate_key' END AS violation,
+       CAST(k AS VARCHAR) AS k, n FROM (
   SELECT CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE l_orderkey END AS k, count(*) AS n
   FROM lineitem GROUP BY 1) WHERE k IS NULL OR n > 1
 """,
@@ -226,7 +232,7 @@ SELECT row_hash, CASE WHEN circuit_id IS NULL THEN 'null:circuit_id'
 FROM fd WHERE circuit_id IS NULL OR section_id IS NULL OR copy_no > 1
 """,
     "latest_with_ties": CIRC + """
-SELECT circuit_id, section_id, f_hca_date, row_hash FROM (
+SELECT circuit_id, CAST(section_id AS VARCHAR) AS section_id, f_hca_date, row_hash FROM (
   SELECT *, max(f_hca_date) OVER (PARTITION BY circuit_id) AS m FROM circ
   WHERE circuit_id IS NOT NULL) WHERE f_hca_date = m
 """,
