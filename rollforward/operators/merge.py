@@ -14,7 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import as_list, quoted
+from ..functions.columns import any_null, as_list, quoted
 
 
 def _unmatched(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
@@ -22,11 +22,17 @@ def _unmatched(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFra
 
     The target's keys are first cut down to those the source has. That intermediate
     is no larger than the source, so a small source keeps the whole plan free of a
-    target shuffle, which a direct anti join against the target would need.
+    target shuffle, which a direct anti join against the target would need. Rows with
+    a NULL key cannot match and go past the join, however many there are.
     """
     columns = [quoted(k) for k in keys]
-    shared = target.select(*columns).join(source.select(*columns), keys, "left_semi").distinct()
-    return source.join(shared, keys, "left_anti").select(*[quoted(c) for c in source.columns])
+    null_key = any_null(keys)
+    keyed = source.filter(~null_key)
+    shared = target.select(*columns).join(keyed.select(*columns), keys, "left_semi").distinct()
+    unmatched = keyed.join(shared, keys, "left_anti")
+    return unmatched.select(*[quoted(c) for c in source.columns]).unionByName(
+        source.filter(null_key)
+    )
 
 
 def _matched(

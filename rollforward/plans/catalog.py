@@ -27,7 +27,7 @@ from .circuits import (
     SUMMARY_SCHEMA,
 )
 from .incremental import replay
-from .ingest import select_loads
+from .ingest import accept_files, rows_to_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -302,8 +302,8 @@ def q_insert_only_fold(spark, sf_dir):
 def q_ingest_keyed(spark, sf_dir):
     rows = delivered_twice(daily_states(spark, sf_dir), "seq")
     rows = rows.withColumn("row_hash", row_hash(["seq", "k", "v"]))
-    loads = select_loads(rows, empty_load_log(spark))
-    states = loads.rows.withColumn("row_hash", row_hash(["k", "v"]))
+    loads = rows_to_load(rows, accept_files(rows, empty_load_log(spark)))
+    states = loads.withColumn("row_hash", row_hash(["k", "v"]))
     folded = fold_keyed(states, "k", "load_order")
     names = [F.col(f"{s}.file_name").alias(f"{s[:-4]}_file") for s in ("load_seq", "updated_seq")]
     return folded.select("k", "v", *names)
@@ -314,8 +314,8 @@ def q_ingest_keyless(spark, sf_dir):
     daily = events.select(F.to_date("ts").alias("seq"), "user_id", "event_type")
     rows = delivered_twice(daily, "seq")
     rows = rows.withColumn("row_hash", row_hash(["user_id", "event_type"]))
-    loads = select_loads(rows, empty_load_log(spark))
-    first = fold_insert_only(loads.rows, "load_order")
+    loads = rows_to_load(rows, accept_files(rows, empty_load_log(spark)))
+    first = fold_insert_only(loads, "load_order")
     return first.select("row_hash", F.col("load_seq.file_name").alias("load_file"))
 
 

@@ -14,6 +14,7 @@ from ..operators.changes import (
     WATERMARK_SCHEMA,
     advance_watermark,
     change_range,
+    empty_watermark,
     last_processed,
     latest_version,
     row_states,
@@ -79,10 +80,15 @@ def run(
     rolled = replay(typed, spec, rules, after=after, until=until)
     target = table_or_empty(spark, target_table, rolled.schema)
 
-    replace_partitions(rejected(typed, rules), rejects_table, "version")
+    replace_partitions(rejected(typed, rules), rejects_table, "version", root)
     publish(update_all(target, rolled, spec.keys), target_table, f"{root}/rollup")
     publish(
         advance_watermark(watermark, feed_table, until, time),
         watermark_table,
         f"{root}/watermark",
     )
+
+
+def reset(spark: SparkSession, watermark_table: str, root: str) -> None:
+    """Forget what was processed; the next :func:`run` replays from the first version."""
+    publish(empty_watermark(spark), watermark_table, f"{root}/watermark")

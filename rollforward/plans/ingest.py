@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,39 +23,52 @@ from ..sources.snapshots import append, publish, replace_partitions, shared_dir,
 FILE_COLUMNS = ("file_name", "file_time")
 
 
-@dataclass(frozen=True)
-class Loads:
-    """New files and their distinct rows, each with its place ``load_order``."""
-
-    files: DataFrame
-    rows: DataFrame
-
-
-def select_loads(
+def accept_files(
     rows: DataFrame,
     log: DataFrame,
     *,
     files: DataFrame | None = None,
     hash_column: str = "row_hash",
-) -> Loads:
-    """Keep the rows of files that are new by content, once per file and hash.
+) -> DataFrame:
+    """Files that are new by content: ``file_name``, ``file_time``, ``file_hash``.
 
-    Files are taken in order of ``file_time``, then ``file_name``. Of files with equal
-    content the first counts. Copies within a file enter its fingerprint, not its rows.
+    Files are taken in order of ``file_time``, then ``file_name``; of files with equal
+    content the first counts. ``files`` lists them all, also those without rows.
     """
     prints = file_fingerprints(rows, FILE_COLUMNS, hash_column, files)
-    accepted = new_files(prints, log, [F.col(c) for c in reversed(FILE_COLUMNS)])
+    return new_files(prints, log, [F.col(c) for c in reversed(FILE_COLUMNS)])
+
+
+def rows_to_load(
+    rows: DataFrame, accepted: DataFrame, *, hash_column: str = "row_hash"
+) -> DataFrame:
+    """Rows of accepted files, once per file and hash, with their ``load_order``.
+
+    Copies within a file enter its fingerprint, but only one of them is loaded.
+    """
     kept = rows.join(accepted.select(*FILE_COLUMNS), list(FILE_COLUMNS), "left_semi")
     kept = kept.select(*[quoted(c) for c in rows.columns])
     distinct = one_per_key(kept, ["file_name", hash_column])
-    place = F.struct("file_time", "file_name")
-    return Loads(accepted, distinct.withColumn("load_order", place).drop(*FILE_COLUMNS))
+    return distinct.withColumn("load_order", F.struct("file_time", "file_name")).drop(
+        *FILE_COLUMNS
+    )
 
 
-def duplicate_keys(loads: Loads, keys: str | Iterable[str]) -> DataFrame:
+def duplicate_keys(loads: DataFrame, keys: str | Iterable[str]) -> DataFrame:
     """Keys that one file holds more than once; a keyed merge of it is undefined."""
     keys = as_list(keys)
-    return pk_violations(loads.rows.filter(~any_null(keys)), ["load_order", *keys])
+    return pk_violations(loads.filter(~any_null(keys)), ["load_order", *keys])
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    It is computed once, survives lost executors, and has a known size, by which Spark
+    can tell whether to broadcast it.
+    """
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def load_csv(
@@ -81,7 +93,8 @@ def load_csv(
     With ``primary_key`` changed rows are updated and new ones inserted, else rows with
     a new hash are inserted. Snapshots go under ``root``. ``changes_table`` receives the
     change rows as one new version. The files are parsed and hashed once, into a staged
-    table. The log is written last: a run that breaks off is repeated by the next one.
+    table. The log is written last: a run that breaks off is repeated by the next one,
+    which changes nothing more, except that rows with a NULL key are inserted again.
     """
     time = F.lit(load_time or datetime.now(timezone.utc)).cast("timestamp")
     keys = as_list(primary_key) if primary_key is not None else None
@@ -97,24 +110,19 @@ def load_csv(
         with_file=True,
     )
     data = [c for c in parsed.columns if c not in FILE_COLUMNS]
-    staged = shared_dir(spark, "staged")
-    with_row_hash(parsed, data, null_safe=null_safe_hash).write.parquet(staged)
-    rows = spark.read.parquet(staged)
-
+    rows = staged(with_row_hash(parsed, data, null_safe=null_safe_hash), "rows")
     log = table_or_empty(spark, log_table, LOAD_LOG_SCHEMA)
-    loads = select_loads(rows, log, files=list_files(spark, paths))
-    accepted = shared_dir(spark, "accepted")
-    log_rows(loads.files, time).write.parquet(accepted)
-    accepted_log = spark.read.schema(LOAD_LOG_SCHEMA).parquet(accepted)
-    if accepted_log.isEmpty():
+    accepted = staged(accept_files(rows, log, files=list_files(spark, paths)), "accepted")
+    if accepted.isEmpty():
         return
+    loads = rows_to_load(rows, accepted)
     if keys and not duplicate_keys(loads, keys).isEmpty():
         raise ValueError("Duplicate primary keys detected")
 
     if keys:
-        folded = fold_keyed(loads.rows, keys, "load_order").drop("load_seq", "updated_seq")
+        folded = fold_keyed(loads, keys, "load_order").drop("load_seq", "updated_seq")
     else:
-        folded = fold_insert_only(loads.rows, "load_order").drop("load_seq")
+        folded = fold_insert_only(loads, "load_order").drop("load_seq")
     source = with_load_stamps(folded.drop("load_order"), time)
     force = "rewritten" if keys else None
     columns = [f for f in source.schema.fields if f.name != force]
@@ -122,9 +130,8 @@ def load_csv(
     unknown = {f.name for f in columns} - set(target.columns)
     if unknown:
         raise ValueError(f"{table} has no column for {sorted(unknown)}")
-    source = conform_schema(
-        source, StructType([*target.schema.fields, *[source.schema[f] for f in [force] if f]])
-    )
+    wanted = [*target.schema.fields, *[source.schema[f] for f in [force] if f]]
+    source = staged(conform_schema(source, StructType(wanted)), "source")
 
     if changes_table is not None:
         moved = (
@@ -133,14 +140,15 @@ def load_csv(
             else merge.insert_only_changes(target, source)
         )
         version = _next_version(spark, changes_table)
-        replace_partitions(moved.withColumn("version", F.lit(version)), changes_table, "version")
+        moved = moved.withColumn("version", F.lit(version))
+        replace_partitions(moved, changes_table, "version", root)
     merged = (
         merge.upsert_changed(target, source, keys, force=force)
         if keys
         else merge.insert_only(target, source)
     )
     publish(merged, table, root)
-    append(accepted_log, log_table)
+    append(log_rows(accepted, time), log_table)
 
 
 def _next_version(spark: SparkSession, changes_table: str) -> int:

@@ -10,7 +10,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 SHARED_DIR_SETTING = "spark.checkpoint.dir"
 
@@ -58,14 +58,32 @@ def append(df: DataFrame, table: str, partition_by: str | None = None) -> None:
     writer.saveAsTable(table)
 
 
-def replace_partitions(df: DataFrame, table: str, partition_by: str) -> None:
-    """Write partitions of a table, replacing those that ``df`` holds rows for."""
+def replace_partitions(df: DataFrame, table: str, partition_by: str, root: str) -> None:
+    """Write partitions of a table, replacing those that ``df`` holds rows for.
+
+    A new table is kept under ``root``. Doing the same write again changes nothing.
+    """
     spark = df.sparkSession
-    columns = [c for c in df.columns if c != partition_by] + [partition_by]
-    ordered = df.select(*["`" + c.replace("`", "``") + "`" for c in columns])
-    if spark.catalog.tableExists(table):
-        ordered = ordered.select(*["`" + c + "`" for c in spark.table(table).columns])
-        writer = ordered.write.option("partitionOverwriteMode", "dynamic")
-        writer.insertInto(table, overwrite=True)
-    else:
-        ordered.write.format("parquet").partitionBy(partition_by).saveAsTable(table)
+    exists = spark.catalog.tableExists(table)
+    path = table_location(spark, table) if exists else f"{root.rstrip('/')}/{table}"
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_by)
+        .parquet(path)
+    )
+    if not exists:
+        columns = [f for f in df.schema.fields if f.name != partition_by]
+        spark.catalog.createTable(table, path=path, source="parquet", schema=_nullable(
+            [*columns, df.schema[partition_by]]
+        ))
+    spark.catalog.refreshTable(table)
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    return described.filter("col_name = 'Location'").first()["data_type"]
+
+
+def _nullable(fields: list[StructField]) -> StructType:
+    return StructType([StructField(f.name, f.dataType, True) for f in fields])
