@@ -2,9 +2,9 @@
 
 None of them moves the target when the source is small enough for Spark to
 broadcast: the target is always on the streamed side of its join. With a large
-source the same plans become sort-merge joins, whose left side adaptive execution
-may split when a key is hot. Keys must be unique per side; a NULL in a key never
-matches, so such source rows are inserted and such target rows are kept.
+source the same plans become sort-merge joins on keys that are unique per side. A
+NULL in a key never matches: such source rows are inserted and such target rows are
+kept, both past the joins, so any number of them does no harm.
 """
 
 from __future__ import annotations
@@ -22,13 +22,13 @@ def _unmatched(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFra
 
     The target's keys are first cut down to those the source has. That intermediate
     is no larger than the source, so a small source keeps the whole plan free of a
-    target shuffle, which a direct anti join against the target would need. Rows with
-    a NULL key cannot match and go past the join, however many there are.
+    target shuffle, which a direct anti join against the target would need.
     """
     columns = [quoted(k) for k in keys]
     null_key = any_null(keys)
     keyed = source.filter(~null_key)
-    shared = target.select(*columns).join(keyed.select(*columns), keys, "left_semi").distinct()
+    present = target.filter(~null_key).select(*columns)
+    shared = present.join(keyed.select(*columns), keys, "left_semi").distinct()
     unmatched = keyed.join(shared, keys, "left_anti")
     return unmatched.select(*[quoted(c) for c in source.columns]).unionByName(
         source.filter(null_key)
@@ -43,12 +43,12 @@ def _matched(
     force: str | None,
     how: str,
 ) -> tuple[DataFrame, Column]:
-    """Target rows with their source columns as ``__s_<name>``, and the update test."""
+    """Keyed target rows with their source columns as ``__s_<name>``, and the update test."""
     renamed = source.select(*[quoted(c).alias(f"__s_{c}") for c in source.columns])
     condition = F.lit(True)
     for key in keys:
         condition = condition & (quoted(key) == quoted(f"__s_{key}"))
-    joined = target.join(renamed, condition, how)
+    joined = target.filter(~any_null(keys)).join(renamed, condition, how)
     changed = quoted(hash_column) != quoted(f"__s_{hash_column}")
     if force is not None:
         changed = changed | quoted(f"__s_{force}")
@@ -82,7 +82,9 @@ def upsert_changed(
         ]
     )
     inserts = _unmatched(source, target, keys)
-    return merged.unionByName(inserts.drop(force) if force else inserts)
+    return merged.unionByName(target.filter(any_null(keys))).unionByName(
+        inserts.drop(force) if force else inserts
+    )
 
 
 def upsert_changes(
@@ -126,5 +128,11 @@ def insert_only_changes(
 def update_all(target: DataFrame, source: DataFrame, keys: str | Iterable[str]) -> DataFrame:
     """Replace matched target rows as a whole, NULLs included; insert the rest."""
     keys = as_list(keys)
-    kept = target.join(source.select(*[quoted(k) for k in keys]), keys, "left_anti")
-    return kept.select(*[quoted(c) for c in target.columns]).unionByName(source)
+    null_key = any_null(keys)
+    replaced = source.filter(~null_key).select(*[quoted(k) for k in keys])
+    kept = target.filter(~null_key).join(replaced, keys, "left_anti")
+    return (
+        kept.select(*[quoted(c) for c in target.columns])
+        .unionByName(target.filter(null_key))
+        .unionByName(source)
+    )
