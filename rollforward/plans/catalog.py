@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +19,7 @@ from ..operators.first import dedup_by_hash, flag_first, keep_first, total_order
 from ..operators.fold import fold_insert_only, fold_keyed
 from ..operators.rollup import latest_rollup, latest_with_ties
 from ..sources.delimited import read_csv, write_csv
-from ..sources.snapshots import shared_dir
+from ..sources.snapshots import replace_partitions, shared_dir, table_location
 from ..streaming.replay import StreamReplay
 from .circuits import (
     CIRCUIT_ROLLUP,
@@ -26,8 +29,8 @@ from .circuits import (
     SECTION_ROLLUP,
     SUMMARY_SCHEMA,
 )
-from .incremental import replay
-from .ingest import accept_files, rows_to_load
+from .incremental import replay, run
+from .ingest import accept_files, load_csv, rows_to_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -319,6 +322,39 @@ def q_ingest_keyless(spark, sf_dir):
     return first.select("row_hash", F.col("load_seq.file_name").alias("load_file"))
 
 
+@contextmanager
+def scratch_tables(spark: SparkSession, *names: str):
+    """Table names of one query; the tables are dropped, their files stay readable."""
+    mark = uuid.uuid4().hex
+    tables = [f"rollforward_{name}_{mark}" for name in names]
+    try:
+        yield tables
+    finally:
+        for name in tables:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def q_load_csv(spark, sf_dir):
+    root = shared_dir(spark, "load")
+    with scratch_tables(spark, "orders", "log", "changes") as (orders, log, moved):
+        for day, snapshot in enumerate(order_snapshots(spark, sf_dir), start=1):
+            path = f"{root}/in/{day}"
+            write_csv(snapshot.select("k", "v"), path)
+            load_csv(
+                spark,
+                path,
+                orders,
+                log,
+                root,
+                primary_key="k",
+                changes_table=moved,
+                schema="k bigint, v double",
+                load_time=datetime(2024, 1, day, tzinfo=timezone.utc),
+            )
+        result = spark.read.parquet(table_location(spark, orders))
+    return result.select("k", "v", "row_hash", "load_datetime", "updated_datetime")
+
+
 # ---- conformance --------------------------------------------------------------------
 
 
@@ -446,6 +482,27 @@ def q_incremental_resume(spark, sf_dir):
     return replay(feed, CIRCUIT_ROLLUP, CIRCUIT_RULES, after=3, target=earlier)
 
 
+def q_incremental_run(spark, sf_dir):
+    root = shared_dir(spark, "run")
+    names = ("feed", "rollup", "watermark", "rejects")
+    with scratch_tables(spark, *names) as (feed, rollup, watermark, rejects):
+        rows = redelivered(spark, sf_dir)
+        for versions in (F.col("version") <= 2, F.col("version") > 2):
+            replace_partitions(rows.filter(versions), feed, "version", root)
+            run(
+                spark,
+                feed,
+                rollup,
+                watermark,
+                rejects,
+                root,
+                mapping={},
+                change_types=None,
+            )
+        result = spark.read.parquet(table_location(spark, rollup))
+    return result
+
+
 def q_version_watermark(spark, sf_dir):
     feed = event_versions(spark, sf_dir).withColumnRenamed("event_type", "table_name")
     processed = feed.filter(F.col("table_name").isin("click", "view") & (F.col("version") <= 9))

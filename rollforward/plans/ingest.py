@@ -18,9 +18,17 @@ from ..operators.first import one_per_key
 from ..operators.fold import fold_insert_only, fold_keyed
 from ..operators.quality import pk_violations
 from ..sources.delimited import list_files, read_csv
-from ..sources.snapshots import append, publish, replace_partitions, shared_dir, table_or_empty
+from ..sources.snapshots import (
+    append,
+    discard,
+    publish,
+    replace_partitions,
+    shared_dir,
+    table_or_empty,
+)
 
 FILE_COLUMNS = ("file_name", "file_time")
+REWRITTEN = "rewritten"
 
 
 def accept_files(
@@ -60,15 +68,28 @@ def duplicate_keys(loads: DataFrame, keys: str | Iterable[str]) -> DataFrame:
     return pk_violations(loads.filter(~any_null(keys)), ["load_order", *keys])
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back.
+class Staging:
+    """Intermediate tables in the shared folder, deleted at the end of a load.
 
-    It is computed once, survives lost executors, and has a known size, by which Spark
-    can tell whether to broadcast it.
+    A staged result is computed once, survives lost executors, and has a known size,
+    by which Spark can tell whether to broadcast it.
     """
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            discard(self.spark, path)
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        self.paths.append(shared_dir(self.spark, name))
+        df.write.parquet(self.paths[-1])
+        return self.spark.read.schema(df.schema).parquet(self.paths[-1])
 
 
 def load_csv(
@@ -110,45 +131,48 @@ def load_csv(
         with_file=True,
     )
     data = [c for c in parsed.columns if c not in FILE_COLUMNS]
-    rows = staged(with_row_hash(parsed, data, null_safe=null_safe_hash), "rows")
+    hashed = with_row_hash(parsed, data, null_safe=null_safe_hash)
     log = table_or_empty(spark, log_table, LOAD_LOG_SCHEMA)
-    accepted = staged(accept_files(rows, log, files=list_files(spark, paths)), "accepted")
-    if accepted.isEmpty():
-        return
-    loads = rows_to_load(rows, accepted)
-    if keys and not duplicate_keys(loads, keys).isEmpty():
-        raise ValueError("Duplicate primary keys detected")
-
-    if keys:
-        folded = fold_keyed(loads, keys, "load_order").drop("load_seq", "updated_seq")
-    else:
-        folded = fold_insert_only(loads, "load_order").drop("load_seq")
-    source = with_load_stamps(folded.drop("load_order"), time)
-    force = "rewritten" if keys else None
-    columns = [f for f in source.schema.fields if f.name != force]
+    with Staging(spark) as staging:
+        rows = staging.table(hashed, "rows")
+        files = accept_files(rows, log, files=list_files(spark, paths))
+        accepted = staging.table(files, "accepted")
+        if accepted.isEmpty():
+            return
+        loads = rows_to_load(rows, accepted)
+        if keys and not duplicate_keys(loads, keys).isEmpty():
+            raise ValueError("Duplicate primary keys detected")
+
+        if keys:
+            folded = fold_keyed(loads, keys, "load_order").drop("load_seq", "updated_seq")
+        else:
+            folded = fold_insert_only(loads, "load_order").drop("load_seq")
+        source = with_load_stamps(folded.drop("load_order"), time)
+        target, wanted = _target(spark, table, source, REWRITTEN)
+        source = staging.table(conform_schema(source, wanted), "source")
+
+        options = {"keys": keys, "force": REWRITTEN} if keys else {}
+        if changes_table is not None:
+            moves = merge.upsert_changes if keys else merge.insert_only_changes
+            version = F.lit(_next_version(spark, changes_table)).alias("version")
+            moved = moves(target, source, **options).select("*", version)
+            replace_partitions(moved, changes_table, "version", root)
+        merged = (merge.upsert_changed if keys else merge.insert_only)(target, source, **options)
+        publish(merged, table, f"{root}/{table}")
+        append(log_rows(accepted, time), log_table, root)
+
+
+def _target(
+    spark: SparkSession, table: str, source: DataFrame, extra: str
+) -> tuple[DataFrame, StructType]:
+    """The target table, and the schema the source takes for it; ``extra`` stays."""
+    columns = [f for f in source.schema.fields if f.name != extra]
     target = table_or_empty(spark, table, StructType(columns))
     unknown = {f.name for f in columns} - set(target.columns)
     if unknown:
         raise ValueError(f"{table} has no column for {sorted(unknown)}")
-    wanted = [*target.schema.fields, *[source.schema[f] for f in [force] if f]]
-    source = staged(conform_schema(source, StructType(wanted)), "source")
-
-    if changes_table is not None:
-        moved = (
-            merge.upsert_changes(target, source, keys, force=force)
-            if keys
-            else merge.insert_only_changes(target, source)
-        )
-        version = _next_version(spark, changes_table)
-        moved = moved.withColumn("version", F.lit(version))
-        replace_partitions(moved, changes_table, "version", root)
-    merged = (
-        merge.upsert_changed(target, source, keys, force=force)
-        if keys
-        else merge.insert_only(target, source)
-    )
-    publish(merged, table, root)
-    append(log_rows(accepted, time), log_table)
+    kept = [f for f in source.schema.fields if f.name == extra]
+    return target, StructType([*target.schema.fields, *kept])
 
 
 def _next_version(spark: SparkSession, changes_table: str) -> int:

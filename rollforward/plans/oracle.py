@@ -169,6 +169,14 @@ SELECT k, v, 'first-' || CAST(load_seq AS VARCHAR) AS load_file,
 SELECT sha256(concat_ws('||', user_id, event_type)) AS row_hash,
        'first-' || CAST(min(CAST(ts AS DATE)) AS VARCHAR) AS load_file
 FROM events GROUP BY 1
+""",
+    "load_csv": SNAPSHOTS + """
+SELECT k, v, sha256(concat_ws('||', k, v)) AS row_hash, load_datetime, updated_datetime FROM (
+  SELECT coalesce(ok, nk) AS k, CASE WHEN nk IS NULL THEN ov ELSE nv END AS v,
+    CASE WHEN ok IS NULL THEN '2024-01-02 00:00:00' ELSE '2024-01-01 00:00:00' END AS load_datetime,
+    CASE WHEN ok IS NULL OR ov <> nv THEN '2024-01-02 00:00:00' ELSE '2024-01-01 00:00:00' END
+      AS updated_datetime
+  FROM j)
 """,
     "load_stamp": """
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS load_datetime,
@@ -250,6 +258,7 @@ WHERE f_hca_date = m GROUP BY circuit_id, section_id
 """,
     "incremental_replay": REPLAY,
     "incremental_resume": REPLAY,
+    "incremental_run": REPLAY,
     "stream_replay": REPLAY,
     "version_watermark": f"""
 WITH cur AS ({CURRENT}),

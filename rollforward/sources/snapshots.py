@@ -50,12 +50,21 @@ def publish(df: DataFrame, table: str, root: str) -> None:
         spark.catalog.createTable(table, path=path, source="parquet")
 
 
-def append(df: DataFrame, table: str, partition_by: str | None = None) -> None:
-    """Append to a table, creating it when it is absent."""
-    writer = df.write.mode("append").format("parquet")
-    if partition_by is not None:
-        writer = writer.partitionBy(partition_by)
-    writer.saveAsTable(table)
+def append(df: DataFrame, table: str, root: str) -> None:
+    """Append to a table; a new one is kept under ``root``."""
+    spark = df.sparkSession
+    exists = spark.catalog.tableExists(table)
+    path = table_location(spark, table) if exists else f"{root.rstrip('/')}/{table}"
+    df.write.mode("append").parquet(path)
+    if not exists:
+        spark.catalog.createTable(table, path=path, source="parquet")
+    spark.catalog.refreshTable(table)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that :func:`shared_dir` named."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def replace_partitions(df: DataFrame, table: str, partition_by: str, root: str) -> None:
