@@ -56,6 +56,36 @@ def flag_first(
     )
 
 
+def repeated(df: DataFrame, keys: str | Iterable[str]) -> DataFrame:
+    """The rows whose key occurs more than once.
+
+    Keys are counted first, which combines on the map side and moves keys only. The
+    rows then move once, and whatever follows handles the repeated ones alone. The join
+    also compares a hash of the key, so that the counted keys need an exchange of their
+    own, without which adaptive execution could not split the rows of a hot key.
+    """
+    keys = as_list(keys)
+    hashed = F.xxhash64(*[quoted(k) for k in keys])
+    counts = df.groupBy(*[quoted(k).alias(f"__k_{k}") for k in keys]).agg(
+        F.count(F.lit(1)).alias("__n")
+    )
+    again = counts.filter(F.col("__n") > 1).withColumn(
+        "__right", F.xxhash64(*[quoted(f"__k_{k}") for k in keys])
+    )
+    same = F.col("__left") == F.col("__right")
+    for key in keys:
+        same = same & quoted(key).eqNullSafe(quoted(f"__k_{key}"))
+    return df.withColumn("__left", hashed).join(again, same, "left_semi").drop("__left")
+
+
+def all_but_first(
+    df: DataFrame, keys: str | Iterable[str], order: Sequence[str | Column]
+) -> DataFrame:
+    """The rows that :func:`keep_first` leaves out."""
+    marked = flag_first(repeated(df, keys), keys, order, "__first")
+    return marked.filter(~F.col("__first")).drop("__first")
+
+
 def one_per_key(
     df: DataFrame, keys: str | Iterable[str], count_as: str | None = None
 ) -> DataFrame:

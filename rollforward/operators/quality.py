@@ -9,7 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import any_null, as_list, quoted
-from .first import flag_first, keep_first, one_per_key, total_order
+from .first import (
+    all_but_first,
+    flag_first,
+    keep_first,
+    one_per_key,
+    repeated,
+    total_order,
+)
 
 # What stands in ``reject_reason``.
 NULL_PREFIX = "null:"
@@ -88,26 +95,21 @@ def rejected(df: DataFrame, rules: Rules) -> DataFrame:
     """The rows to set aside, with ``reject_reason``."""
     kept = not_null(df, rules.required)
     order = total_order(df, rules.order)
+    names = [*[quoted(c) for c in df.columns], F.col("reject_reason")]
+    result = null_rejects(df, rules.required)
     if rules.full_duplicates == KEEP_ONE:
-        identity = rules.row_identity(df)
-        marked = flag_first(kept, identity, order, "__one")
+        # copies share their key, so only repeated keys have to be looked at
+        marked = flag_first(repeated(kept, rules.key), rules.row_identity(df), order, "__one")
         marked = flag_first(marked, rules.key, [F.col("__one").desc(), *order], "__first")
         reason = F.when(~F.col("__one"), FULL_DUPLICATE).when(~F.col("__first"), DUPLICATE_KEY)
-    else:
-        pool = kept
-        if rules.full_duplicates == DROP_ALL:
-            pool = unduplicated(kept, rules.identity)
-        marked = flag_first(pool, rules.key, order, "__first")
-        reason = F.when(~F.col("__first"), DUPLICATE_KEY)
-    repeats = marked.withColumn("reject_reason", reason).filter(
-        F.col("reject_reason").isNotNull()
-    )
-    names = [*[quoted(c) for c in df.columns], F.col("reject_reason")]
-    result = null_rejects(df, rules.required).unionByName(repeats.select(*names))
+        marked = marked.withColumn("reject_reason", reason)
+        return result.unionByName(marked.filter(reason.isNotNull()).select(*names))
     if rules.full_duplicates == DROP_ALL:
         copies = duplicated(kept, rules.identity)
         result = result.unionByName(copies.withColumn("reject_reason", F.lit(FULL_DUPLICATE)))
-    return result
+        kept = unduplicated(kept, rules.identity)
+    losers = all_but_first(kept, rules.key, order)
+    return result.unionByName(losers.withColumn("reject_reason", F.lit(DUPLICATE_KEY)))
 
 
 def split(df: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:

@@ -15,7 +15,7 @@ from ..functions.conform import conform_schema, rename_cast, with_load_stamps
 from ..functions.hashing import row_hash, row_hash_null_safe, with_row_hash
 from ..operators import changes, merge, quality
 from ..operators.files import empty_load_log, file_fingerprints, log_rows, new_files
-from ..operators.first import dedup_by_hash, flag_first, keep_first, total_order
+from ..operators.first import all_but_first, dedup_by_hash, keep_first, total_order
 from ..operators.fold import fold_insert_only, fold_keyed
 from ..operators.rollup import latest_rollup, latest_with_ties
 from ..sources.delimited import read_csv, write_csv
@@ -423,8 +423,7 @@ def q_dq_pk_first(spark, sf_dir):
 def q_dq_pk_rest(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     keys = ["l_orderkey", "l_linenumber"]
-    marked = flag_first(li, keys, total_order(li, LINE_ORDER), "first")
-    return marked.filter(~F.col("first")).select(*LINE_OUTPUT)
+    return all_but_first(li, keys, total_order(li, LINE_ORDER)).select(*LINE_OUTPUT)
 
 
 def q_dq_clean(spark, sf_dir):

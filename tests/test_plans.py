@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rollforward.functions.hashing import with_row_hash
 from rollforward.operators import merge, quality
 from rollforward.operators.files import file_fingerprints
-from rollforward.operators.first import flag_first, keep_first, one_per_key
+from rollforward.operators.first import flag_first, keep_first, one_per_key, repeated
 from rollforward.operators.rollup import latest_rollup, latest_with_ties
 from rollforward.plans.circuits import CIRCUIT_ROLLUP
 
@@ -112,6 +112,13 @@ def test_adaptive_execution_splits_a_hot_key_and_date(spark, hot):
         assert latest.count() == 40000
 
 
+def test_adaptive_execution_splits_the_rows_of_a_repeated_key(spark, hot):
+    with settings(spark, **SKEW):
+        rows = repeated(read_hot(spark, hot), "k")
+        assert "skew=true" in final_plan(rows)
+        assert rows.count() == 20000
+
+
 def test_null_keys_of_either_side_stay_where_they_are(spark, hot):
     with settings(
         spark,
