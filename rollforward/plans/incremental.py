@@ -67,10 +67,8 @@ def run(
     Rejects replace the partitions of the versions they belong to and the watermark is
     moved last, so a run that breaks off is repeated without doubling anything.
     """
-    time = F.lit(now or datetime.now(timezone.utc))
     feed = spark.table(feed_table)
-    watermark = table_or_empty(spark, watermark_table, WATERMARK_SCHEMA)
-    after = last_processed(watermark, feed_table)
+    after = read_watermark(spark, watermark_table, feed_table)
     until = latest_version(feed).first()[0]
     if until is None or until <= after:
         return
@@ -81,14 +79,31 @@ def run(
     target = table_or_empty(spark, target_table, rolled.schema)
 
     replace_partitions(rejected(typed, rules), rejects_table, "version", root)
-    publish(update_all(target, rolled, spec.keys), target_table, f"{root}/rollup")
-    publish(
-        advance_watermark(watermark, feed_table, until, time),
-        watermark_table,
-        f"{root}/watermark",
-    )
+    publish(update_all(target, rolled, spec.keys), target_table, f"{root}/{target_table}")
+    move_watermark(spark, watermark_table, feed_table, until, root, now=now)
+
+
+def read_watermark(spark: SparkSession, watermark_table: str, table: str) -> int:
+    """The last processed version of ``table``, -1 before the first run."""
+    return last_processed(table_or_empty(spark, watermark_table, WATERMARK_SCHEMA), table)
+
+
+def move_watermark(
+    spark: SparkSession,
+    watermark_table: str,
+    table: str,
+    version: int,
+    root: str,
+    *,
+    now: datetime | None = None,
+) -> None:
+    """Set the last processed version of ``table``."""
+    watermark = table_or_empty(spark, watermark_table, WATERMARK_SCHEMA)
+    time = F.lit(now or datetime.now(timezone.utc))
+    moved = advance_watermark(watermark, table, version, time)
+    publish(moved, watermark_table, f"{root}/{watermark_table}")
 
 
 def reset(spark: SparkSession, watermark_table: str, root: str) -> None:
     """Forget what was processed; the next :func:`run` replays from the first version."""
-    publish(empty_watermark(spark), watermark_table, f"{root}/watermark")
+    publish(empty_watermark(spark), watermark_table, f"{root}/{watermark_table}")

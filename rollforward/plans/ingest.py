@@ -13,7 +13,13 @@ from ..functions.columns import any_null, as_list, quoted
 from ..functions.conform import conform_schema, with_load_stamps
 from ..functions.hashing import with_row_hash
 from ..operators import changes, merge
-from ..operators.files import LOAD_LOG_SCHEMA, file_fingerprints, log_rows, new_files
+from ..operators.files import (
+    LOAD_LOG_SCHEMA,
+    file_fingerprints,
+    is_loaded,
+    log_rows,
+    new_files,
+)
 from ..operators.first import one_per_key
 from ..operators.fold import fold_insert_only, fold_keyed
 from ..operators.quality import pk_violations
@@ -111,15 +117,12 @@ def load_csv(
 ) -> None:
     """Load the files under ``paths`` that ``log_table`` does not know into ``table``.
 
-    With ``primary_key`` changed rows are updated and new ones inserted, else rows with
-    a new hash are inserted. Snapshots go under ``root``. ``changes_table`` receives the
-    change rows as one new version. The files are parsed and hashed once, into a staged
-    table. The log is written last: a run that breaks off is repeated by the next one,
-    which changes nothing more, except that rows with a NULL key are inserted again.
+    The files are parsed and hashed once, into a staged table, and folded into one
+    merge, see :func:`merge_into_table`. The log is written last: a run that breaks off
+    is repeated by the next one, which changes nothing more, except that rows with a
+    NULL key are inserted again.
     """
-    time = F.lit(load_time or datetime.now(timezone.utc)).cast("timestamp")
-    keys = as_list(primary_key) if primary_key is not None else None
-
+    load_time = load_time or datetime.now(timezone.utc)
     parsed = read_csv(
         spark,
         paths,
@@ -140,18 +143,53 @@ def load_csv(
         if accepted.isEmpty():
             return
         loads = rows_to_load(rows, accepted)
-        if keys and not duplicate_keys(loads, keys).isEmpty():
-            raise ValueError("Duplicate primary keys detected")
-
-        if keys:
-            folded = fold_keyed(loads, keys, "load_order").drop("load_seq", "updated_seq")
+        if primary_key is None:
+            folded = fold_insert_only(loads, "load_order").drop("load_seq", "load_order")
         else:
-            folded = fold_insert_only(loads, "load_order").drop("load_seq")
-        source = with_load_stamps(folded.drop("load_order"), time)
-        target, wanted = _target(spark, table, source, REWRITTEN)
-        source = staging.table(conform_schema(source, wanted), "source")
+            if not duplicate_keys(loads, primary_key).isEmpty():
+                raise ValueError("Duplicate primary keys detected")
+            folded = fold_keyed(loads, primary_key, "load_order", force=REWRITTEN)
+            folded = folded.drop("load_seq", "updated_seq", "load_order")
+        merge_into_table(
+            folded,
+            table,
+            root,
+            primary_key=primary_key,
+            changes_table=changes_table,
+            load_time=load_time,
+            force=REWRITTEN if primary_key is not None else None,
+        )
+        append(log_rows(accepted, F.lit(load_time)), log_table, root)
+
+
+def merge_into_table(
+    df: DataFrame,
+    table: str,
+    root: str,
+    *,
+    primary_key: str | Iterable[str] | None = None,
+    changes_table: str | None = None,
+    load_time: datetime | None = None,
+    force: str | None = None,
+) -> None:
+    """Create ``table`` from the rows, or merge them into it; snapshots go under ``root``.
 
-        options = {"keys": keys, "force": REWRITTEN} if keys else {}
+    With ``primary_key`` changed rows are updated and new ones inserted, else rows with
+    a new hash are inserted. ``changes_table`` receives the change rows as one new
+    version. ``force`` is as in :func:`operators.merge.upsert_changed`.
+    """
+    spark = df.sparkSession
+    keys = as_list(primary_key) if primary_key is not None else None
+    hashed = df if "row_hash" in df.columns else with_row_hash(df)
+    stamped = with_load_stamps(hashed, F.lit(load_time or datetime.now(timezone.utc)))
+    with Staging(spark) as staging:
+        target, wanted = _target(spark, table, stamped, force)
+        source = staging.table(conform_schema(stamped, wanted), "source")
+        if keys and force is None:
+            doubled = pk_violations(source.filter(~any_null(keys)), keys)
+            if not doubled.isEmpty():
+                raise ValueError("Duplicate primary keys detected")
+        options = {"keys": keys, "force": force} if keys else {}
         if changes_table is not None:
             moves = merge.upsert_changes if keys else merge.insert_only_changes
             version = F.lit(_next_version(spark, changes_table)).alias("version")
@@ -159,11 +197,28 @@ def load_csv(
             replace_partitions(moved, changes_table, "version", root)
         merged = (merge.upsert_changed if keys else merge.insert_only)(target, source, **options)
         publish(merged, table, f"{root}/{table}")
-        append(log_rows(accepted, time), log_table, root)
+
+
+def is_file_loaded(spark: SparkSession, log_table: str, file_hash: str) -> bool:
+    """Whether the log knows a content hash; without a log it knows none."""
+    return is_loaded(table_or_empty(spark, log_table, LOAD_LOG_SCHEMA), file_hash)
+
+
+def log_file(
+    spark: SparkSession,
+    log_table: str,
+    root: str,
+    file_name: str,
+    file_hash: str,
+    load_time: datetime | None = None,
+) -> None:
+    """Append one row to the load log."""
+    row = (file_name, file_hash, load_time or datetime.now(timezone.utc))
+    append(spark.createDataFrame([row], LOAD_LOG_SCHEMA), log_table, root)
 
 
 def _target(
-    spark: SparkSession, table: str, source: DataFrame, extra: str
+    spark: SparkSession, table: str, source: DataFrame, extra: str | None
 ) -> tuple[DataFrame, StructType]:
     """The target table, and the schema the source takes for it; ``extra`` stays."""
     columns = [f for f in source.schema.fields if f.name != extra]

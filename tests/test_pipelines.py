@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollforward.operators.changes import last_processed
-from rollforward.plans.incremental import reset, run
-from rollforward.plans.ingest import load_csv
+from rollforward.plans.control import create_control_tables
+from rollforward.plans.incremental import move_watermark, read_watermark, reset, run
+from rollforward.plans.ingest import is_file_loaded, load_csv, log_file, merge_into_table
 
 from .conftest import rows
 
@@ -151,3 +152,34 @@ def test_files_to_rollup(spark, tmp_path):
     assert last_processed(spark.table("roll_mark"), "raw_changes") == -1
     roll(6)
     assert result() == before and spark.table("roll_rejects").count() == 2
+
+
+def test_control_tables(spark, tmp_path):
+    root = str(tmp_path / "root")
+    assert not is_file_loaded(spark, "ctl_log", "h")
+    for _ in range(2):
+        create_control_tables(spark, "ctl_log", "ctl_mark", root)
+        assert spark.table("ctl_log").columns == ["file_name", "file_hash", "load_time"]
+    assert read_watermark(spark, "ctl_mark", "t") == -1
+    log_file(spark, "ctl_log", root, "test_file.csv", "h", at(0))
+    move_watermark(spark, "ctl_mark", "t", 3, root, now=at(0))
+    create_control_tables(spark, "ctl_log", "ctl_mark", root)
+    assert is_file_loaded(spark, "ctl_log", "h") and not is_file_loaded(spark, "ctl_log", "new")
+    assert read_watermark(spark, "ctl_mark", "t") == 3
+    assert read_watermark(spark, "ctl_mark", "u") == -1
+
+
+def test_a_dataframe_into_a_table(spark, tmp_path):
+    root = str(tmp_path / "root")
+    df = spark.createDataFrame([(1, "Alice")], "id long, name string")
+    merge_into_table(df, "direct_t", root, primary_key="id", load_time=at(0))
+    assert spark.table("direct_t").count() == 1
+    more = spark.createDataFrame([(1, "Al"), (2, "Bob")], "id long, name string")
+    merge_into_table(more, "direct_t", root, primary_key="id", load_time=at(1))
+    assert stamps(spark, "direct") == [
+        (1, "Al", "2024-01-01 00:00:00", "2024-01-01 01:00:00"),
+        (2, "Bob", "2024-01-01 01:00:00", "2024-01-01 01:00:00"),
+    ]
+    doubled = spark.createDataFrame([(3, "Cy"), (3, "Di")], "id long, name string")
+    with pytest.raises(ValueError, match="Duplicate primary keys detected"):
+        merge_into_table(doubled, "direct_t", root, primary_key="id")
