@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 from ..functions.columns import as_list, quoted
 
 
+# Spark types whose values an aggregation buffer can hold in place.
+FIXED_WIDTH = {
+    "boolean", "byte", "short", "integer", "long", "float", "double",
+    "date", "timestamp", "timestamp_ntz",
+}
+
+
 def row_tie(df: DataFrame) -> Column:
     """A number that settles between rows of one key; equal rows have equal ones."""
     return F.xxhash64(*[quoted(c) for c in df.columns])
@@ -87,21 +94,36 @@ def all_but_first(
 
 
 def one_per_key(
-    df: DataFrame, keys: str | Iterable[str], count_as: str | None = None
+    df: DataFrame, keys: str | Iterable[str], columns: Iterable[str] | None = None
 ) -> DataFrame:
-    """:func:`keep_first` for the order of :func:`total_order` alone, without sorting.
+    """:func:`keep_first` for the order of :func:`total_order` alone.
 
-    With columns of fixed width it runs as a hash aggregate that combines on the map
-    side, and columns nobody asks for are not carried along. ``count_as`` adds the
-    number of rows the key had.
+    ``columns`` are those to return. If they have a fixed width, apart from the keys, a
+    hash aggregate that combines on the map side does it without sorting.
     """
     keys = as_list(keys)
+    names = list(columns) if columns is not None else df.columns
+    rest = [c for c in names if c not in keys]
+    carried = df.select(*[quoted(c) for c in rest]).schema
+    if any(field.dataType.typeName() not in FIXED_WIDTH for field in carried):
+        first = keep_first(df, keys, total_order(df))
+    else:
+        first = _min_by_tie(df, keys, rest)
+    return first.select(*[quoted(c) for c in names])
+
+
+def counted_per_key(df: DataFrame, keys: str | Iterable[str], count_as: str) -> DataFrame:
+    """The same row per key, with all columns and the number of rows the key had."""
+    keys = as_list(keys)
     rest = [c for c in df.columns if c not in keys]
-    firsts = [F.min_by(quoted(c), F.col("__tie")).alias(c) for c in rest]
-    rows = F.count(F.lit(1)).alias(count_as or "__rows")
+    counted = _min_by_tie(df, keys, rest, F.count(F.lit(1)).alias(count_as))
+    return counted.select(*[quoted(c) for c in df.columns], count_as)
+
+
+def _min_by_tie(df: DataFrame, keys: list[str], rest: list[str], *more: Column) -> DataFrame:
     grouped = df.withColumn("__tie", row_tie(df)).groupBy(*[quoted(k) for k in keys])
-    counted = [count_as] if count_as else []
-    return grouped.agg(*firsts, rows).select(*[quoted(c) for c in df.columns], *counted)
+    firsts = [F.min_by(quoted(c), F.col("__tie")).alias(c) for c in rest]
+    return grouped.agg(*(firsts + list(more) or [F.count(F.lit(1))]))
 
 
 def dedup_by_hash(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import any_null, as_list, quoted
 from .first import (
     all_but_first,
+    counted_per_key,
     flag_first,
     keep_first,
     one_per_key,
@@ -71,24 +72,26 @@ def not_null(df: DataFrame, required: Iterable[str]) -> DataFrame:
 
 def unduplicated(df: DataFrame, identity: Iterable[str] = ()) -> DataFrame:
     """Rows that occur once; every copy of a repeated row is gone."""
-    counted = one_per_key(df, list(identity) or df.columns, count_as="__n")
+    counted = counted_per_key(df, list(identity) or df.columns, "__n")
     return counted.filter(F.col("__n") == 1).drop("__n")
 
 
 def duplicated(df: DataFrame, identity: Iterable[str] = ()) -> DataFrame:
     """One copy of each row that occurs more than once."""
-    counted = one_per_key(df, list(identity) or df.columns, count_as="__n")
+    counted = counted_per_key(df, list(identity) or df.columns, "__n")
     return counted.filter(F.col("__n") > 1).drop("__n")
 
 
-def clean(df: DataFrame, rules: Rules) -> DataFrame:
-    """The rows to keep."""
+def clean(df: DataFrame, rules: Rules, columns: Iterable[str] | None = None) -> DataFrame:
+    """The rows to keep; ``columns`` says which of their columns are needed."""
+    columns = list(columns) if columns is not None else df.columns
     kept = not_null(df, rules.required)
     if rules.full_duplicates == DROP_ALL:
         kept = unduplicated(kept, rules.identity)
     if not rules.order:
-        return one_per_key(kept, rules.key)
-    return keep_first(kept, rules.key, total_order(kept, rules.order))
+        return one_per_key(kept, rules.key, columns)
+    first = keep_first(kept, rules.key, total_order(kept, rules.order))
+    return first.select(*[quoted(c) for c in columns])
 
 
 def rejected(df: DataFrame, rules: Rules) -> DataFrame:

@@ -31,6 +31,11 @@ class Rollup:
         """The same measures over already aggregated rows."""
         return [COMBINE[how](quoted(out)).alias(out) for out, how, _ in self.measures]
 
+    @property
+    def inputs(self) -> list[str]:
+        names = [*self.keys, self.date, *[name for _, _, name in self.measures]]
+        return list(dict.fromkeys(names))
+
     @property
     def outputs(self) -> list[str]:
         return [*self.keys, *[out for out, _, _ in self.measures], self.date_as]

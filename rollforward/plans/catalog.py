@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -349,7 +348,7 @@ def q_load_csv(spark, sf_dir):
                 primary_key="k",
                 changes_table=moved,
                 schema="k bigint, v double",
-                load_time=datetime(2024, 1, day, tzinfo=timezone.utc),
+                load_time=F.lit(f"2024-01-0{day} 00:00:00").cast("timestamp"),
             )
         result = spark.read.parquet(table_location(spark, orders))
     return result.select("k", "v", "row_hash", "load_datetime", "updated_datetime")

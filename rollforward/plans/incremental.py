@@ -42,7 +42,8 @@ def replay(
     replaces an entity's row as a whole, even with an older date. So the result per
     entity is the rollup of its greatest version, which needs no loop over versions.
     """
-    kept = clean(change_range(feed, after + 1, until, version=version), rules)
+    pending = change_range(feed, after + 1, until, version=version)
+    kept = clean(pending, rules, [version, *spec.inputs])
     parts = rollup_by_date(kept, spec, [version])
     rolled = newest_part(parts, spec, [version]).select(version, *spec.outputs)
     return rolled if target is None else update_all(target, rolled, spec.keys)

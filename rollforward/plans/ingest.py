@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -107,7 +107,7 @@ def load_csv(
     *,
     primary_key: str | Iterable[str] | None = None,
     changes_table: str | None = None,
-    load_time: datetime | None = None,
+    load_time: datetime | Column | None = None,
     schema: StructType | str | None = None,
     infer_schema: bool = True,
     header: bool = True,
@@ -122,7 +122,7 @@ def load_csv(
     is repeated by the next one, which changes nothing more, except that rows with a
     NULL key are inserted again.
     """
-    load_time = load_time or datetime.now(timezone.utc)
+    load_time = _time(load_time)
     parsed = read_csv(
         spark,
         paths,
@@ -159,7 +159,7 @@ def load_csv(
             load_time=load_time,
             force=REWRITTEN if primary_key is not None else None,
         )
-        append(log_rows(accepted, F.lit(load_time)), log_table, root)
+        append(log_rows(accepted, load_time), log_table, root)
 
 
 def merge_into_table(
@@ -169,7 +169,7 @@ def merge_into_table(
     *,
     primary_key: str | Iterable[str] | None = None,
     changes_table: str | None = None,
-    load_time: datetime | None = None,
+    load_time: datetime | Column | None = None,
     force: str | None = None,
 ) -> None:
     """Create ``table`` from the rows, or merge them into it; snapshots go under ``root``.
@@ -181,7 +181,7 @@ def merge_into_table(
     spark = df.sparkSession
     keys = as_list(primary_key) if primary_key is not None else None
     hashed = df if "row_hash" in df.columns else with_row_hash(df)
-    stamped = with_load_stamps(hashed, F.lit(load_time or datetime.now(timezone.utc)))
+    stamped = with_load_stamps(hashed, _time(load_time))
     with Staging(spark) as staging:
         target, wanted = _target(spark, table, stamped, force)
         source = staging.table(conform_schema(stamped, wanted), "source")
@@ -217,6 +217,13 @@ def log_file(
     append(spark.createDataFrame([row], LOAD_LOG_SCHEMA), log_table, root)
 
 
+def _time(given: datetime | Column | None) -> Column:
+    """One time for a whole load, also where it takes several jobs."""
+    if isinstance(given, Column):
+        return given
+    return F.lit(given or datetime.now(timezone.utc)).cast("timestamp")
+
+
 def _target(
     spark: SparkSession, table: str, source: DataFrame, extra: str | None
 ) -> tuple[DataFrame, StructType]:
