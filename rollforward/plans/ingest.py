@@ -68,10 +68,26 @@ def rows_to_load(
     )
 
 
-def duplicate_keys(loads: DataFrame, keys: str | Iterable[str]) -> DataFrame:
-    """Keys that one file holds more than once; a keyed merge of it is undefined."""
+def doubled_keys(
+    rows: DataFrame,
+    accepted: DataFrame,
+    keys: str | Iterable[str],
+    *,
+    hash_column: str = "row_hash",
+) -> DataFrame:
+    """Keys under which one accepted file has different rows; merging it is undefined.
+
+    Only keys and hashes are read, and a key however frequent is one row per task.
+    """
     keys = as_list(keys)
-    return pk_violations(loads.filter(~any_null(keys)), ["load_order", *keys])
+    kept = rows.filter(~any_null(keys)).join(
+        accepted.select(*FILE_COLUMNS), list(FILE_COLUMNS), "left_semi"
+    )
+    short = F.xxhash64(quoted(hash_column))
+    spans = kept.groupBy("file_name", *[quoted(k) for k in keys]).agg(
+        F.min(short).alias("__low"), F.max(short).alias("__high")
+    )
+    return spans.filter(F.col("__low") != F.col("__high")).drop("__low", "__high")
 
 
 class Staging:
@@ -146,7 +162,7 @@ def load_csv(
         if primary_key is None:
             folded = fold_insert_only(loads, "load_order").drop("load_seq", "load_order")
         else:
-            if not duplicate_keys(loads, primary_key).isEmpty():
+            if not doubled_keys(rows, accepted, primary_key).isEmpty():
                 raise ValueError("Duplicate primary keys detected")
             folded = fold_keyed(loads, primary_key, "load_order", force=REWRITTEN)
             folded = folded.drop("load_seq", "updated_seq", "load_order")
@@ -157,7 +173,7 @@ def load_csv(
             primary_key=primary_key,
             changes_table=changes_table,
             load_time=load_time,
-            force=REWRITTEN if primary_key is not None else None,
+            folded=primary_key is not None,
         )
         append(log_rows(accepted, load_time), log_table, root)
 
@@ -170,26 +186,28 @@ def merge_into_table(
     primary_key: str | Iterable[str] | None = None,
     changes_table: str | None = None,
     load_time: datetime | Column | None = None,
-    force: str | None = None,
+    folded: bool = False,
 ) -> None:
     """Create ``table`` from the rows, or merge them into it; snapshots go under ``root``.
 
     With ``primary_key`` changed rows are updated and new ones inserted, else rows with
     a new hash are inserted. ``changes_table`` receives the change rows as one new
-    version. ``force`` is as in :func:`operators.merge.upsert_changed`.
+    version. A key that the rows hold twice is an error before anything is written;
+    ``folded`` rows come from a keyed fold of files that were checked.
     """
     spark = df.sparkSession
     keys = as_list(primary_key) if primary_key is not None else None
     hashed = df if "row_hash" in df.columns else with_row_hash(df)
     stamped = with_load_stamps(hashed, _time(load_time))
     with Staging(spark) as staging:
-        target, wanted = _target(spark, table, stamped, force)
+        extra = [REWRITTEN] if folded else []
+        target, wanted = _target(spark, table, stamped, extra)
         source = staging.table(conform_schema(stamped, wanted), "source")
-        if keys and force is None:
+        if keys and not folded:
             doubled = pk_violations(source.filter(~any_null(keys)), keys)
             if not doubled.isEmpty():
                 raise ValueError("Duplicate primary keys detected")
-        options = {"keys": keys, "force": force} if keys else {}
+        options = {"keys": keys, "force": REWRITTEN if folded else None} if keys else {}
         if changes_table is not None:
             moves = merge.upsert_changes if keys else merge.insert_only_changes
             version = F.lit(_next_version(spark, changes_table)).alias("version")
@@ -225,15 +243,15 @@ def _time(given: datetime | Column | None) -> Column:
 
 
 def _target(
-    spark: SparkSession, table: str, source: DataFrame, extra: str | None
+    spark: SparkSession, table: str, source: DataFrame, extra: list[str]
 ) -> tuple[DataFrame, StructType]:
-    """The target table, and the schema the source takes for it; ``extra`` stays."""
-    columns = [f for f in source.schema.fields if f.name != extra]
+    """The target table, and the schema the source takes for it with ``extra`` columns."""
+    columns = [f for f in source.schema.fields if f.name not in extra]
     target = table_or_empty(spark, table, StructType(columns))
     unknown = {f.name for f in columns} - set(target.columns)
     if unknown:
         raise ValueError(f"{table} has no column for {sorted(unknown)}")
-    kept = [f for f in source.schema.fields if f.name == extra]
+    kept = [f for f in source.schema.fields if f.name in extra]
     return target, StructType([*target.schema.fields, *kept])
 
 
