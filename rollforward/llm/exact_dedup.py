@@ -102,8 +102,8 @@ def deduplicate(rows: DataFrame, index: DigestIndex, batch: str) -> DataFrame:
     """
     index.admit(representatives(rows), batch)
     # by path, not by table: with both sides exchanged, a hot digest's rows can be split
-    known = index.spark.read.parquet(index.path).select(
-        "digest", "keep_id", "keep_row", "copies", F.col("batch").cast("string").alias("batch")
+    known = index.spark.read.schema(index.COLUMNS).parquet(index.path).select(
+        "digest", "keep_id", "keep_row", "copies", "batch"
     )
     return rows.join(known.hint("merge"), "digest").select(
         "doc_id",
