@@ -7,16 +7,20 @@ minimum. Two sets of similarity 0.8 miss each other in all bands with probabilit
 1. Documents with equal sets form a class, combined below the exchange; from here on a
    class is one row, so groups of copies of any size cost nothing.
 2. Classes that share a band key are candidates. Each is first compared with one hub per
-   bucket only. The share of equal bits, corrected for chance (two unequal minima agree in
+   bucket: the class whose buckets are fullest, which is the least edited one of a group of
+   near copies. The share of equal bits, corrected for chance (two unequal minima agree in
    two bits once in four), estimates the similarity and drops clearly different pairs; the
-   rest is confirmed on the full sets. Connected classes form components.
-3. Only classes of one bucket that are still in different components are compared with
-   each other, with the length bound and the estimate inside the join. What passes and was
-   not tested before is confirmed on the full sets, and components are formed again.
-
-So every pair of a bucket is confirmed, refused, or already connected. The estimate drops
-a pair of similarity 0.8 with probability below 1e-9 (at least 80 of 128 two-bit minima
-must agree; 109 are expected).
+   rest is confirmed on the full sets. Linked classes form components.
+3. Classes of one bucket that are still in different components can only be linked if they
+   have enough in common outside the hub: a set shares with any other set of the bucket at
+   most what it shares with the hub, plus those of its other shingles that some other set
+   around the hub has too. Pairs within that bound, the length bound and the estimate, all
+   inside the join, are confirmed on the full sets, and components are formed again.
+
+So every pair of a bucket is confirmed, refused, or already connected, and the independent
+edits of a large group do not meet in pairs. The estimate drops a pair of similarity 0.8
+with probability below 1e-9 (at least 80 of 128 two-bit minima must agree; 109 are
+expected).
 
 Defined results: NULL and blank texts have empty sets and link with nothing. Texts shorter
 than a shingle are one shingle. NULL ids count as largest; rows equal in id and text share
@@ -37,6 +41,7 @@ from .common import WordHashes, as_bytes, mixed, row_key, signed, stage, window_
 
 BANDS, ROWS, BITS = 32, 4, 2
 LEAST_EQUAL = 80
+LARGE = 32  # sets around a hub from which on the bound of step 3 is worth its cost
 SLICE = 8192  # shingles hashed at once; bounds the memory for long texts
 
 _HASHES = WordHashes()  # per Python worker
@@ -152,8 +157,8 @@ def components(edges: DataFrame) -> DataFrame:
         before = after
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, keyed: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets are similar enough."""
+def compared(pairs: DataFrame, classes: DataFrame, keyed: DataFrame, k: int) -> DataFrame:
+    """The pairs (a, b) of classes with their full sets ``x`` and ``y`` and what is common."""
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = ends.join(classes.select("node", "key"), "node")
     texts = keyed.groupBy("key").agg(F.first("text").alias("text"))  # rows of one key are equal
@@ -169,16 +174,35 @@ def confirmed(pairs: DataFrame, classes: DataFrame, keyed: DataFrame, k: int, pe
     sets = stage(needed.mapInArrow(sets_of, "node binary, items array<long>"), "sets")
     sides = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")).hint("merge"), "a")
     sides = sides.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")).hint("merge"), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    either = F.size("x") + F.size("y") - common
-    return sides.filter(100 * common >= percent * either).select("a", "b")
+    return sides.withColumn("common", F.size(F.array_intersect("x", "y")))
+
+
+def least_common(n_a: Column, n_b: Column, percent: int) -> Column:
+    """The smallest intersection that links sets of these sizes."""
+    return F.ceil(percent * (n_a + n_b) / F.lit(100 + percent))
+
+
+def reaches(stars: DataFrame) -> DataFrame:
+    """Per class and hub the most that its set can share with another set around the hub.
+
+    ``stars``: a, hub, common, n, rest (the shingles that the hub does not have).
+    """
+    large = stars.groupBy("hub").count().filter(F.col("count") >= LARGE).select("hub")
+    around = stars.join(large.hint("merge"), "hub", "left_semi")
+    others = around.select("a", "hub", F.explode("rest").alias("item"))
+    shared = others.groupBy("hub", "item").count().filter("count > 1").select("hub", "item")
+    counts = others.join(shared.hint("merge"), ["hub", "item"]).groupBy("a", "hub").agg(F.count("*").alias("shared"))
+    return around.select("a", "hub", "common").join(counts, ["a", "hub"], "left").select(
+        F.col("a").alias("node"), "hub", (F.col("common") + F.coalesce("shared", F.lit(0))).alias("reach")
+    )
 
 
 def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame:
     """Each document with its set size, component, and whether it is the row to keep.
 
     ``component_id`` is the smallest id reachable over links; links join sets whose
-    intersection is at least ``percent`` % of their union.
+    intersection is at least ``percent`` % of their union, that is, at least
+    ``percent / (100 + percent)`` of the sum of their sizes.
     """
     keyed = docs.select(row_key().alias("key"), F.col("doc_id").cast("long"), F.col("text"))
     rows = sketches(keyed, k)
@@ -192,8 +216,15 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
     classes = stage(classes, "classes")
 
     banded = classes.select("node", F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.count("*").alias("size"), F.min("node").alias("hub")).filter("size > 1")
-    members = stage(banded.join(shared.hint("merge"), "band").select("band", "node", "hub"), "members")
+    shared = banded.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
+    members = stage(banded.join(shared.hint("merge"), "band"), "members")
+    fullness = members.groupBy("node").agg(F.sum("size").alias("fullness"))
+    hubs = members.join(fullness.hint("merge"), "node").groupBy("band").agg(
+        F.max(F.struct("fullness", "node")).alias("hub")
+    )
+    members = stage(
+        members.join(hubs.hint("merge"), "band").select("band", "node", F.col("hub.node").alias("hub")), "starred"
+    )
 
     signs = classes.select("node", "n", "sign")
     left, right = (signs.select(*[F.col(c).alias(f"{c}_{s}") for c in signs.columns]) for s in "ab")
@@ -204,23 +235,40 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
     )
     stars = members.filter("node != hub").select(F.col("node").alias("node_a"), F.col("hub").alias("node_b")).distinct()
     stars = stars.join(left, "node_a").join(right, "node_b").filter(similar)
-    tested = stage(stars.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")), "tested")
-    links = stage(confirmed(tested, classes, keyed, k, percent), "links")
+    tested = stage(stars.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.col("n_a").alias("n")), "tested")
+    stars = compared(tested, classes, keyed, k)
+    linked = F.col("common") >= least_common(F.size("x"), F.size("y"), percent)
+    stars = stage(
+        stars.select("a", F.col("b").alias("hub"), "common", "n", F.array_except("x", "y").alias("rest"), linked.alias("linked")),
+        "stars",
+    )
+    links = stars.filter("linked").select("a", F.col("hub").alias("b"))
     roots = components(links)
+    bounds = reaches(stars.drop("linked"))
 
     # buckets whose members are still in different components
-    placed = members.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+    placed = members.join(roots, "node", "left").select("band", "node", "hub", F.coalesce("root", "node").alias("root"))
     open_bands = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     open_bands = open_bands.filter("low != high").select("band")
-    still = stage(
-        placed.join(open_bands, "band", "left_semi").join(signs, "node"), "open-buckets"
+    still = placed.join(open_bands, "band", "left_semi").join(signs, "node").join(bounds, ["node", "hub"], "left")
+    still = stage(still.drop("hub"), "open-buckets")
+    a, b = (
+        still.select("band", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "n", "sign", "reach")]) for s in "ab"
     )
-    a, b = (still.select("band", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "n", "sign")]) for s in "ab")
-    across = a.join(b.hint("merge"), (a["band"] == b["band"]) & (F.col("node_a") > F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & similar)
+    need = least_common(F.col("n_a"), F.col("n_b"), percent)
+    # the bound holds among sets that were all compared with the hub
+    bounded = F.col("reach_a").isNotNull() & F.col("reach_b").isNotNull()
+    within = ~bounded | ((F.col("reach_a") >= need) & (F.col("reach_b") >= need))
+    apart = (F.col("node_a") > F.col("node_b")) & (F.col("root_a") != F.col("root_b"))
+    across = a.join(b.hint("merge"), (a["band"] == b["band"]) & apart & within & similar)
     across = across.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-    across = stage(across.join(tested, ["a", "b"], "left_anti"), "across")
-    more = confirmed(across, classes, keyed, k, percent)
-    roots = components(links.unionByName(more))
+    both_ways = tested.select("a", "b").unionByName(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    across = stage(across.join(both_ways, ["a", "b"], "left_anti"), "across")
+    more = compared(across, classes, keyed, k)
+    linked = F.col("common") >= least_common(F.size("x"), F.size("y"), percent)
+    more = stage(more.filter(linked).select("a", "b"), "more-links")
+    # the new links join whole components
+    roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
     named = classes.select("node", "first").join(roots, "node", "left")
     named = named.select("node", F.coalesce("root", "node").alias("root"), F.col("first").alias("own"))
