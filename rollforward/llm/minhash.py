@@ -13,9 +13,10 @@ minimum. Two sets of similarity 0.8 miss each other in all bands with probabilit
    rest is confirmed on the full sets. Linked classes form components.
 3. Classes of one bucket that are still in different components can only be linked if they
    have enough in common outside the hub: a set shares with any other set of the bucket at
-   most what it shares with the hub, plus those of its other shingles that some other set
-   around the hub has too. Pairs within that bound, the length bound and the estimate, all
-   inside the join, are confirmed on the full sets, and components are formed again.
+   most what it shares with the hub, plus those of its other shingles that the other set
+   has too, which a few marked bits per set bound. Pairs within that bound, the length
+   bound and the estimate, all inside the join, are confirmed on the full sets, and
+   components are formed again.
 
 So every pair of a bucket is confirmed, refused, or already connected, and the independent
 edits of a large group do not meet in pairs. The estimate drops a pair of similarity 0.8
@@ -41,6 +42,7 @@ from .common import WordHashes, as_bytes, mixed, row_key, signed, stage, window_
 
 BANDS, ROWS, BITS = 32, 4, 2
 LEAST_EQUAL = 80
+MARKS = 4  # 64-bit numbers that mark a set's shingles outside the hub
 LARGE = 32  # sets around a hub from which on the bound of step 3 is worth its cost
 SLICE = 8192  # shingles hashed at once; bounds the memory for long texts
 
@@ -182,21 +184,47 @@ def least_common(n_a: Column, n_b: Column, percent: int) -> Column:
     return F.ceil(percent * (n_a + n_b) / F.lit(100 + percent))
 
 
-def reaches(stars: DataFrame) -> DataFrame:
-    """Per class and hub the most that its set can share with another set around the hub.
+def around_hubs(stars: DataFrame) -> DataFrame:
+    """Per class what its set shares with a hub, and marks of what others around it have too.
 
-    ``stars``: a, hub, common, n, rest (the shingles that the hub does not have).
+    ``stars``: a, hub, common, rest (the shingles that the hub does not have). Of the hubs
+    that a class was compared with, the one with the most others around it counts.
     """
-    large = stars.groupBy("hub").count().filter(F.col("count") >= LARGE).select("hub")
-    around = stars.join(large.hint("merge"), "hub", "left_semi")
+    sizes = stars.groupBy("hub").agg(F.count("*").alias("size")).filter(F.col("size") >= LARGE)
+    around = stage(
+        stars.join(sizes.hint("merge"), "hub").groupBy("a").agg(
+            F.max(F.struct("size", "hub", "common", "rest")).alias("best")
+        ).select("a", "best.hub", "best.common", "best.rest"),
+        "around",
+    )
     others = around.select("a", "hub", F.explode("rest").alias("item"))
     shared = others.groupBy("hub", "item").count().filter("count > 1").select("hub", "item")
-    counts = others.join(shared.hint("merge"), ["hub", "item"]).groupBy("a", "hub").agg(F.count("*").alias("shared"))
-    return around.select("a", "hub", "common").join(counts, ["a", "hub"], "left").select(
-        F.col("a").alias("node"), "hub", (F.col("common") + F.coalesce("shared", F.lit(0))).alias("reach")
+    mark = F.expr("shiftleft(1L, cast(item & 63 as int))")
+    place = F.shiftrightunsigned("item", 62)
+    marks = [F.coalesce(F.bit_or(F.when(place == i, mark)), F.lit(0)) for i in range(MARKS)]
+    counts = others.join(shared.hint("merge"), ["hub", "item"]).groupBy("a").agg(
+        F.array(*marks).alias("marks"), F.count("*").alias("shared")
+    )
+    counts = counts.withColumn("spare", F.col("shared") - sum(F.bit_count(F.col("marks")[i]) for i in range(MARKS)))
+    return around.select("a", "hub", "common").join(counts, "a", "left").select(
+        F.col("a").alias("node"),
+        "hub",
+        "common",
+        F.coalesce("marks", F.array(*[F.lit(0).cast("long")] * MARKS)).alias("marks"),
+        F.coalesce("spare", F.lit(0)).alias("spare"),
     )
 
 
+def most_common() -> Column:
+    """The most that two sets around one hub can have in common.
+
+    In the hub: no more than either shares with it. Outside: one item for each mark that
+    both have, and for each item of one of them that fell on a mark of another item.
+    """
+    both = sum(F.bit_count(F.col("marks_a")[i].bitwiseAND(F.col("marks_b")[i])) for i in range(MARKS))
+    return F.least("common_a", "common_b") + both + F.least("spare_a", "spare_b")
+
+
 def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame:
     """Each document with its set size, component, and whether it is the row to keep.
 
@@ -235,30 +263,30 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80) -> DataFrame
     )
     stars = members.filter("node != hub").select(F.col("node").alias("node_a"), F.col("hub").alias("node_b")).distinct()
     stars = stars.join(left, "node_a").join(right, "node_b").filter(similar)
-    tested = stage(stars.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.col("n_a").alias("n")), "tested")
+    tested = stage(stars.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")), "tested")
     stars = compared(tested, classes, keyed, k)
     linked = F.col("common") >= least_common(F.size("x"), F.size("y"), percent)
     stars = stage(
-        stars.select("a", F.col("b").alias("hub"), "common", "n", F.array_except("x", "y").alias("rest"), linked.alias("linked")),
+        stars.select("a", F.col("b").alias("hub"), "common", F.array_except("x", "y").alias("rest"), linked.alias("linked")),
         "stars",
     )
     links = stars.filter("linked").select("a", F.col("hub").alias("b"))
     roots = components(links)
-    bounds = reaches(stars.drop("linked"))
+    bounds = around_hubs(stars.drop("linked"))
 
     # buckets whose members are still in different components
-    placed = members.join(roots, "node", "left").select("band", "node", "hub", F.coalesce("root", "node").alias("root"))
+    placed = members.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
     open_bands = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     open_bands = open_bands.filter("low != high").select("band")
-    still = placed.join(open_bands, "band", "left_semi").join(signs, "node").join(bounds, ["node", "hub"], "left")
-    still = stage(still.drop("hub"), "open-buckets")
+    still = placed.join(open_bands, "band", "left_semi").join(signs, "node").join(bounds, "node", "left")
+    still = stage(still, "open-buckets")
     a, b = (
-        still.select("band", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "n", "sign", "reach")]) for s in "ab"
+        still.select("band", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "n", "sign", *bounds.columns[1:])]) for s in "ab"
     )
     need = least_common(F.col("n_a"), F.col("n_b"), percent)
-    # the bound holds among sets that were all compared with the hub
-    bounded = F.col("reach_a").isNotNull() & F.col("reach_b").isNotNull()
-    within = ~bounded | ((F.col("reach_a") >= need) & (F.col("reach_b") >= need))
+    # the bound holds among sets that were compared with the same hub
+    bounded = F.coalesce(F.col("hub_a") == F.col("hub_b"), F.lit(False))
+    within = ~bounded | (most_common() >= need)
     apart = (F.col("node_a") > F.col("node_b")) & (F.col("root_a") != F.col("root_b"))
     across = a.join(b.hint("merge"), (a["band"] == b["band"]) & apart & within & similar)
     across = across.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()

@@ -142,6 +142,21 @@ def test_near_duplicates_equal_brute_force(documents, seed):
     assert got == Counter(near_brute(rows, 4, 80))
 
 
+def test_large_groups_of_edited_copies_equal_brute_force(documents, monkeypatch):
+    monkeypatch.setattr(minhash, "LARGE", 4)
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(40)]
+    rows, origin = [], [rng.choice(words) for _ in range(90)]
+    for i in range(120):
+        text = list(rows[rng.randrange(len(rows))][1].split() if rows and rng.random() < 0.2 else origin)
+        for _ in range(rng.choice((0, 1, 2, 3, 4, 5, 8))):
+            text[rng.randrange(len(text))] = rng.choice(words[:6])
+        rows.append((i, " ".join(text[: len(text) - rng.choice((0, 0, 0, 5, 12))])))
+    found = minhash.near_duplicates(documents(rows), 4, 80)
+    got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found.collect())
+    assert got == Counter(near_brute(rows, 4, 80))
+
+
 def test_drop_near_copies_keeps_one_of_each(documents):
     rows = EDGE + corpus(3)
     docs = documents(rows)
