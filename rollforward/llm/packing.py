@@ -38,20 +38,32 @@ PIECES = (
 )
 
 
+MARKS = b".,;:!?*#$%&"
+
+
+def split_word(word: bytes) -> tuple[bytes, bytes]:
+    """A word in lower case and the marks at its end, which the tokenizer takes apart anyway."""
+    word = word.lower()  # of bytes: ASCII only
+    core = word.rstrip(MARKS)
+    if core and core != word and core.decode()[-1].isalpha():
+        return core, word[len(core) :]
+    return word, b""
+
+
 class WordIds(dict):
     """Token ids, as little-endian unsigned 32-bit numbers, per word between ASCII white space.
 
     The tokenizer never looks across white space, so a text's ids are those of its words.
     """
 
-    LIMIT = 300_000
+    LIMIT = 500_000
 
     def __init__(self, tokenizer_file: str):
         super().__init__()
         self.file, self.tokenizer = tokenizer_file, None
 
     def learn(self, words: set[bytes]) -> None:
-        new = list(words - self.keys())
+        new = [w for w in words if w not in self]
         if not new:
             return
         if self.tokenizer is None:
@@ -62,8 +74,12 @@ class WordIds(dict):
         if len(self) + len(new) > self.LIMIT:
             self.clear()
             new = list(words)
-        encoded = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        self.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, encoded))
+        halves = {w: split_word(w) for w in new}
+        parts = [p for p in {p for pair in halves.values() for p in pair if p} if p not in self]
+        encoded = self.tokenizer.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)
+        self.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(parts, encoded))
+        self[b""] = b""
+        self.update((w, self[core] + self[end]) for w, (core, end) in halves.items())
 
     def of(self, text: bytes) -> bytes:
         words = text.split()
