@@ -34,6 +34,7 @@ LONGEST_TEXT = 20_000  # characters of one of them
 LONGEST = 4  # characters of an n-gram
 BACKOFF = 0.4  # weight of an n-gram's evidence against a whole word's
 UNKNOWN = "und"
+SALTS = 64  # groups that a language's hashes are dealt to before the smallest are taken
 
 
 def letters(word: str) -> str:
@@ -47,9 +48,14 @@ def grams(word: str, n: int) -> list[str]:
 
 
 class Model:
-    """Log frequencies per language of words and n-grams; unseen ones get the floor."""
+    """Log frequencies per language of words and n-grams; unseen ones get the floor.
 
-    CACHE = 200_000
+    Tokens that were met keep their row of evidence, up to a bounded number of tokens; row
+    0 is that of tokens without a letter. New tokens are looked up together.
+    """
+
+    CACHE = 300_000
+    SLICE = 100_000  # words of a text looked at together
 
     def __init__(self, texts: dict[str, list[str]]):
         self.languages = sorted(texts)
@@ -64,10 +70,19 @@ class Model:
                     for gram in grams(word, n):
                         counted[name][gram] += times
             self.grams[n] = self._logs(counted)
-        self.known: dict[str, np.ndarray] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.rows = np.zeros((1, len(self.languages)), np.float32)
+        self.used = 1
 
     def __getstate__(self) -> dict:
-        return {**self.__dict__, "known": {}}
+        return {k: v for k, v in self.__dict__.items() if k not in ("known", "rows", "used")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._forget()
 
     def _logs(self, counts: dict[str, Counter]) -> tuple[dict[str, int], np.ndarray]:
         """A row number per item, and rows of log frequencies, 0 for the best language."""
@@ -78,30 +93,61 @@ class Model:
         best = logs.max(axis=1, keepdims=True) if self.languages else 0
         return {item: i for i, item in enumerate(every)}, (logs - best).astype(np.float32)
 
-    def of_word(self, word: str) -> np.ndarray:
+    def evidence(self, words: list[str]) -> np.ndarray:
+        """A row per word: its own if it is known, else the mean of its longest known n-grams."""
+        found = np.zeros((len(words), len(self.languages)), np.float32)
         places, logs = self.words
-        if word in places:
-            return logs[places[word]]
+        at = [places.get(word, -1) for word in words]
+        whole = [i for i, place in enumerate(at) if place >= 0]
+        found[whole] = logs[[at[i] for i in whole]]
+        todo = [i for i, place in enumerate(at) if place < 0]
         for n in range(LONGEST, 0, -1):
             places, logs = self.grams[n]
-            rows = [places[g] for g in grams(word, n) if g in places]
-            if rows:
-                return BACKOFF * logs[rows].mean(axis=0)
-        return np.zeros(len(self.languages), np.float32)
+            owners, starts, rows, left = [], [], [], []
+            for i in todo:
+                start = len(rows)
+                rows += [place for gram in grams(words[i], n) if (place := places.get(gram)) is not None]
+                if len(rows) > start:
+                    owners.append(i)
+                    starts.append(start)
+                else:
+                    left.append(i)
+            if owners:
+                times = np.diff([*starts, len(rows)])
+                found[owners] = BACKOFF * np.add.reduceat(logs[rows], starts, axis=0) / times[:, None]
+            todo = left
+        return found
+
+    def _learn(self, new: set[str], part: list[str]) -> None:
+        if len(self.known) + len(new) > self.CACHE:
+            self._forget()
+            new = set(part)
+        tokens = list(new)
+        words = [letters(token) for token in tokens]
+        spelled = [i for i, word in enumerate(words) if word]
+        need = self.used + len(spelled)
+        if need > len(self.rows):
+            more = np.zeros((max(need, 2 * len(self.rows)) - len(self.rows), len(self.languages)), np.float32)
+            self.rows = np.concatenate([self.rows, more])
+        self.rows[self.used : need] = self.evidence([words[i] for i in spelled])
+        self.known.update(dict.fromkeys(tokens, 0))
+        self.known.update(zip([tokens[i] for i in spelled], range(self.used, need)))
+        self.used = need
 
     def scores(self, text: str) -> tuple[str, float]:
+        if not self.languages:
+            return UNKNOWN, 0.0
         total, any_letter = np.zeros(len(self.languages)), False
-        for token, times in Counter(text.split()).items():
-            found = self.known.get(token)
-            if found is None:
-                word = letters(token)
-                found = self.of_word(word) if word else False
-                if len(self.known) < self.CACHE:
-                    self.known[token] = found
-            if found is not False:
-                any_letter = True
-                total += times * found
-        if not any_letter or not self.languages:
+        words = text.split()
+        for start in range(0, len(words), self.SLICE):
+            part = words[start : start + self.SLICE]
+            new = set(part).difference(self.known)
+            if new:
+                self._learn(new, part)
+            rows = np.fromiter(map(self.known.__getitem__, part), np.int64, len(part))
+            any_letter = any_letter or bool(rows.any())
+            total += self.rows[rows].sum(axis=0, dtype=float)
+        if not any_letter:
             return UNKNOWN, 0.0
         best = int(total.argmax())
         return self.languages[best], float(1 / np.exp(total - total[best]).sum())
@@ -114,9 +160,11 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     """
     usable = F.col("lang").isNotNull() & (F.length("text") <= LONGEST_TEXT)
     hashed = docs.filter(usable).select("lang", "text", F.xxhash64("text").alias("hash"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
-    first = hashed.select("lang", "hash").distinct().withColumn("place", place)
-    first = first.filter(F.col("place") <= per_language)
+    first = hashed.select("lang", "hash").distinct()
+    salt = F.pmod(F.col("hash"), F.lit(SALTS))
+    for dealt in (["lang", salt], ["lang"]):  # the second round sees SALTS * per_language rows at most
+        place = F.row_number().over(Window.partitionBy(*dealt).orderBy("hash"))
+        first = first.withColumn("place", place).filter(F.col("place") <= per_language).drop("place")
     limits = stage(first.groupBy("lang").agg(F.max("hash").alias("limit")), "language-limits")
     below = hashed.join(limits, "lang").filter(F.col("hash") <= F.col("limit"))
     return below.groupBy("lang", "hash").agg(F.first("text").alias("text")).select("lang", "text")

@@ -37,6 +37,42 @@ def test_language_words_then_grams(documents):
     assert language_id.identify(docs, language_id.Model({})).filter("lang_pred != 'und'").count() == 0
 
 
+def test_language_scores_equal_a_word_by_word_sum():
+    model = language_id.Model({"a": ["ab abc bca, cab", "xyz ab"], "b": ["bb bcd dcb zyx 1x"], "c": ["qq"]})
+    model.CACHE, model.SLICE = 7, 5  # the cache is emptied in between
+
+    def row(word):
+        for (places, logs), items, weight in [
+            (model.words, [word], 1),
+            *[(model.grams[n], language_id.grams(word, n), language_id.BACKOFF) for n in (4, 3, 2, 1)],
+        ]:
+            found = [logs[places[i]] for i in items if i in places]
+            if found:
+                return weight * sum(found) / len(found)
+        return [0, 0, 0]
+
+    for text in ["ab ab, AB q 12", "bcd " * 9 + "zz abcd x1y é ñé", "Éé 99", "a b c d e f g h i j k l m n o p q", " "]:
+        words = [w for w in map(language_id.letters, text.split()) if w]
+        total = [sum(float(row(w)[i]) for w in words) for i in range(3)]
+        name, score = model.scores(text)
+        if not words:
+            assert (name, score) == ("und", 0.0)
+        else:
+            assert name == "abc"[total.index(max(total))]
+            assert score == pytest.approx(1 / sum(math.exp(t - max(total)) for t in total), rel=1e-4)
+
+
+def test_language_sample_takes_the_smallest_hashes(documents):
+    rows = [(i, f"text {i % 70}", "en" if i % 3 else "fr", None) for i in range(300)]
+    docs = documents(rows)
+    hashes = {r[0]: r[1] for r in docs.select("text", F.xxhash64("text")).distinct().collect()}
+    for lang in ("en", "fr"):
+        texts = {t for _, t, name, _ in rows if name == lang}
+        expected = sorted(texts, key=hashes.get)[:9]
+        found = language_id.sample(docs, 9).filter(F.col("lang") == lang).collect()
+        assert sorted(r["text"] for r in found) == sorted(expected)
+
+
 def test_mix_meets_targets(documents):
     rows = [(i, "w " * (1 + i % 7), None, "abc"[min(2, i % 20 // 9)]) for i in range(2000)]
     found = mixing.mix(documents(rows)).collect()
