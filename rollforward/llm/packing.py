@@ -17,6 +17,7 @@ even for windows, odd for whole sequences. An empty table gives no rows.
 from __future__ import annotations
 
 import heapq
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -69,6 +70,8 @@ class WordIds(dict):
         if self.tokenizer is None:
             from tokenizers import Tokenizer
 
+            # a task has one core: threads for a handful of words cost more than the words
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
             self.tokenizer = Tokenizer.from_file(self.file)
             self.tokenizer.encode_special_tokens = True
         if len(self) + len(new) > self.LIMIT:
