@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -69,6 +70,17 @@ def as_bytes(column: pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system.
+
+    A Python worker lives on, idle, beside the next stages of its executor.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 class WordHashes(dict):
     """64-bit hash per word, remembered up to a bounded number of words."""
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, as_bytes, mixed, row_key, signed, stage, window_hashes
+from .common import WordHashes, as_bytes, mixed, release_memory, row_key, signed, stage, window_hashes
 
 BANDS, ROWS, BITS = 32, 4, 2
 LEAST_EQUAL = 80
@@ -113,6 +113,8 @@ def sketches(keyed: DataFrame, k: int) -> DataFrame:
                 ],
                 names=["key", "doc_id", "n", "node", "sign", "bands"],
             )
+        _HASHES.clear()
+        release_memory()
 
     schema = "key binary, doc_id long, n long, node binary, sign array<long>, bands array<long>"
     return stage(keyed.select("key", "doc_id", "text").mapInArrow(sketch, schema), "sketches")
@@ -171,6 +173,8 @@ def compared(pairs: DataFrame, classes: DataFrame, keyed: DataFrame, k: int) ->
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.binary()), pa.array(found, pa.list_(pa.int64()))], names=["node", "items"]
             )
+        _HASHES.clear()
+        release_memory()
 
     needed = texts.join(wanted.hint("merge"), "key").select("node", "text")
     sets = stage(needed.mapInArrow(sets_of, "node binary, items array<long>"), "sets")
