@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import NumericType, StructField, StructType
 
 from .columns import quoted
 
@@ -39,20 +39,45 @@ def rename_cast(df: DataFrame, mapping: Mapping[str, tuple[str, str]]) -> DataFr
     )
 
 
-def conform_schema(df: DataFrame, schema: StructType) -> DataFrame:
+def _sources(df: DataFrame, schema: StructType) -> list[tuple[StructField, str | None]]:
+    """The fields of ``schema``, each with the column of ``df`` of its name in any case."""
+    present = {name.lower(): name for name in df.columns}
+    return [(field, present.get(field.name.lower())) for field in schema.fields]
+
+
+def lost_value(df: DataFrame, schema: StructType) -> Column:
+    """The first column of which a value does not survive :func:`conform_schema`, else NULL.
+
+    A value is lost if it turns NULL, or if a number turns into another one.
+    """
+    tests = [F.lit(None).cast("string")]
+    for field, source in _sources(df, schema):
+        if source is None or df.schema[source].dataType == field.dataType:
+            continue
+        given, kept = quoted(source), quoted(source).try_cast(field.dataType)
+        lost = given.isNotNull() & kept.isNull()
+        if isinstance(df.schema[source].dataType, NumericType) and isinstance(field.dataType, NumericType):
+            lost = lost | (kept.try_cast(df.schema[source].dataType) != given)
+        tests.append(F.when(lost, F.lit(field.name)))
+    return F.coalesce(*tests)
+
+
+def conform_schema(df: DataFrame, schema: StructType, more: Iterable[Column] = ()) -> DataFrame:
     """Exactly the columns and types of ``schema``; missing columns become NULL.
 
     NOT NULL is not asserted here: rows that break it belong in the rejects, see
-    :func:`required_columns` and the null check.
+    :func:`required_columns` and the null check. ``more`` columns are computed on ``df``
+    and put last.
     """
-    present = {name.lower(): name for name in df.columns}
+    more = list(more)
     columns = []
-    for field in schema.fields:
-        source = present.get(field.name.lower())
+    for field, source in _sources(df, schema):
         value = F.lit(None) if source is None else quoted(source)
         columns.append(value.try_cast(field.dataType).alias(field.name))
-    return df.select(*columns).to(
-        StructType([StructField(f.name, f.dataType, True) for f in schema.fields])
+    result = df.select(*columns, *more)
+    extra = result.schema.fields[len(columns) :]
+    return result.to(
+        StructType([StructField(f.name, f.dataType, True) for f in [*schema.fields, *extra]])
     )
 
 

@@ -13,12 +13,14 @@ from .columns import quoted
 SEPARATOR = "||"
 NULL_MARK = "N"
 EMPTY_DIGEST_INPUT = ""
-# A row hash contributes two slices of 15 hex digits (60 bits); each slice is cut
-# into three 20-bit parts. Sums of 20-bit parts fit a bigint up to 2**43 rows.
+# The 64 hex digits of a row hash are cut into slices of 15 (60 bits), the last of which
+# has 4 (16 bits), and each slice into parts of 20 bits. Sums of such parts fit a bigint
+# up to 2**43 rows.
 SLICE_DIGITS = 15
-SLICE_STARTS = (1, 16)
+SLICE_STARTS = (1, 16, 31, 46, 61)
 PART_BITS = 20
 PART_SHIFTS = (0, 20, 40)
+LAST_SHIFTS = (0,)
 
 
 def row_hash(names: Iterable[str]) -> Column:
@@ -49,13 +51,20 @@ def with_row_hash(
     return df.withColumn(alias, (row_hash_null_safe if null_safe else row_hash)(names))
 
 
+def hash_slices(row_hash_column: str) -> list[Column]:
+    """Five integers that together are the whole row hash."""
+    return [
+        F.conv(F.substring(row_hash_column, start, SLICE_DIGITS), 16, 10).cast("bigint")
+        for start in SLICE_STARTS
+    ]
+
+
 def digest_terms(row_hash_column: str) -> dict[str, Column]:
-    """Six integer terms of one row hash, to be summed per group."""
+    """Integer terms of one row hash, all its bits, to be summed per group."""
     mask = (1 << PART_BITS) - 1
     terms = {}
-    for s, start in enumerate(SLICE_STARTS):
-        slice_ = F.conv(F.substring(row_hash_column, start, SLICE_DIGITS), 16, 10).cast("bigint")
-        for p, shift in enumerate(PART_SHIFTS):
+    for s, slice_ in enumerate(hash_slices(row_hash_column)):
+        for p, shift in enumerate(PART_SHIFTS if s < len(SLICE_STARTS) - 1 else LAST_SHIFTS):
             terms[f"__d{s}{p}"] = F.shiftright(slice_, shift).bitwiseAND(F.lit(mask))
     return terms
 

@@ -50,7 +50,8 @@ class Rules:
             raise ValueError(f"unknown full_duplicates: {self.full_duplicates}")
 
     def row_identity(self, df: DataFrame) -> list[str]:
-        return list(self.identity or df.columns)
+        """The key belongs to it: equal ``identity`` under two keys is no copy."""
+        return list(dict.fromkeys([*self.key, *self.identity])) if self.identity else df.columns
 
 
 def null_reason(required: Iterable[str]) -> Column:
@@ -87,7 +88,7 @@ def clean(df: DataFrame, rules: Rules, columns: Iterable[str] | None = None) ->
     columns = list(columns) if columns is not None else df.columns
     kept = not_null(df, rules.required)
     if rules.full_duplicates == DROP_ALL:
-        kept = unduplicated(kept, rules.identity)
+        kept = unduplicated(kept, rules.row_identity(df))
     if not rules.order:
         return one_per_key(kept, rules.key, columns)
     first = keep_first(kept, rules.key, total_order(kept, rules.order))
@@ -108,9 +109,9 @@ def rejected(df: DataFrame, rules: Rules) -> DataFrame:
         marked = marked.withColumn("reject_reason", reason)
         return result.unionByName(marked.filter(reason.isNotNull()).select(*names))
     if rules.full_duplicates == DROP_ALL:
-        copies = duplicated(kept, rules.identity)
+        copies = duplicated(kept, rules.row_identity(df))
         result = result.unionByName(copies.withColumn("reject_reason", F.lit(FULL_DUPLICATE)))
-        kept = unduplicated(kept, rules.identity)
+        kept = unduplicated(kept, rules.row_identity(df))
     losers = all_but_first(kept, rules.key, order)
     return result.unionByName(losers.withColumn("reject_reason", F.lit(DUPLICATE_KEY)))
 

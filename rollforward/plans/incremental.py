@@ -22,7 +22,7 @@ from ..operators.changes import (
 from ..operators.merge import update_all
 from ..operators.quality import Rules, clean, rejected
 from ..operators.rollup import Rollup, newest_part, rollup_by_date
-from ..sources.snapshots import publish, replace_partitions, table_or_empty
+from ..sources.snapshots import drop_partitions, publish, replace_partitions, table_or_empty
 from .circuits import CIRCUIT_ROLLUP, CIRCUIT_RULES, RAW_MAPPING
 
 
@@ -65,13 +65,13 @@ def run(
 ) -> None:
     """Bring ``target_table`` up to the newest version of ``feed_table``.
 
-    Rejects replace the partitions of the versions they belong to and the watermark is
-    moved last, so a run that breaks off is repeated without doubling anything.
+    Rejects of these versions that an earlier run left are cleared first, new ones replace
+    the partitions of the versions they belong to, and the watermark is moved last, so a run that breaks off is repeated without doubling anything.
     """
     feed = spark.table(feed_table)
     after = read_watermark(spark, watermark_table, feed_table)
-    until = latest_version(feed).first()[0]
-    if until is None or until <= after:
+    until = latest_version(change_range(feed, after + 1)).first()[0]  # prunes partitions
+    if until is None:
         return
 
     pending = row_states(change_range(feed, after + 1, until), change_types)
@@ -79,6 +79,8 @@ def run(
     rolled = replay(typed, spec, rules, after=after, until=until)
     target = table_or_empty(spark, target_table, rolled.schema)
 
+    if spark.catalog.tableExists(rejects_table):
+        drop_partitions(spark, rejects_table, "version", after + 1, until)
     replace_partitions(rejected(typed, rules), rejects_table, "version", root)
     publish(update_all(target, rolled, spec.keys), target_table, f"{root}/{target_table}")
     move_watermark(spark, watermark_table, feed_table, until, root, now=now)

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import datetime, timezone
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.columns import any_null, as_list, quoted
-from ..functions.conform import conform_schema, with_load_stamps
-from ..functions.hashing import with_row_hash
+from ..functions.conform import conform_schema, lost_value, with_load_stamps
+from ..functions.hashing import SLICE_STARTS, hash_slices, with_row_hash
 from ..operators import changes, merge
 from ..operators.files import (
     LOAD_LOG_SCHEMA,
@@ -35,6 +37,7 @@ from ..sources.snapshots import (
 
 FILE_COLUMNS = ("file_name", "file_time")
 REWRITTEN = "rewritten"
+LOST = "__lost"
 
 
 def accept_files(
@@ -83,11 +86,12 @@ def doubled_keys(
     kept = rows.filter(~any_null(keys)).join(
         accepted.select(*FILE_COLUMNS), list(FILE_COLUMNS), "left_semi"
     )
-    short = F.xxhash64(quoted(hash_column))
+    slices = enumerate(hash_slices(hash_column))
     spans = kept.groupBy("file_name", *[quoted(k) for k in keys]).agg(
-        F.min(short).alias("__low"), F.max(short).alias("__high")
+        *[f(s).alias(f"__{name}{i}") for i, s in slices for name, f in (("low", F.min), ("high", F.max))],
     )
-    return spans.filter(F.col("__low") != F.col("__high")).drop("__low", "__high")
+    differ = [F.col(f"__low{i}") != F.col(f"__high{i}") for i in range(len(SLICE_STARTS))]
+    return spans.filter(reduce(or_, differ)).select("file_name", *[quoted(k) for k in keys])
 
 
 class Staging:
@@ -137,20 +141,24 @@ def load_csv(
     merge, see :func:`merge_into_table`. The log is written last: a run that breaks off
     is repeated by the next one, which changes nothing more, except that rows with a
     NULL key are inserted again.
+
+    With a ``header`` columns go by name, file by file. Without a ``schema`` rows are
+    hashed as the text the file holds, so that a file's fingerprint does not depend on
+    the files beside it; types are inferred for a new table only, and a value that does
+    not fit the table's type is an error.
     """
     load_time = _time(load_time)
-    parsed = read_csv(
-        spark,
-        paths,
-        schema=schema,
-        infer_schema=infer_schema,
-        header=header,
-        delimiter=delimiter,
-        drop_index_column=drop_index_column,
-        with_file=True,
-    )
+    options = {"header": header, "delimiter": delimiter, "drop_index_column": drop_index_column}
+    exists = spark.catalog.tableExists(table)
+    order = spark.table(table).columns if exists else []
+    parsed = read_csv(spark, paths, schema=schema, infer_schema=False, order=order, with_file=True, **options)
     data = [c for c in parsed.columns if c not in FILE_COLUMNS]
     hashed = with_row_hash(parsed, data, null_safe=null_safe_hash)
+    if schema is None and infer_schema and not exists:
+        inferred = read_csv(spark, paths, infer_schema=True, **options).schema
+        hashed = hashed.select(*[
+            quoted(c).cast(inferred[c].dataType).alias(c) if c in data else quoted(c) for c in hashed.columns
+        ])
     log = table_or_empty(spark, log_table, LOAD_LOG_SCHEMA)
     with Staging(spark) as staging:
         rows = staging.table(hashed, "rows")
@@ -192,7 +200,8 @@ def merge_into_table(
 
     With ``primary_key`` changed rows are updated and new ones inserted, else rows with
     a new hash are inserted. ``changes_table`` receives the change rows as one new
-    version. A key that the rows hold twice is an error before anything is written;
+    version. A value that does not fit the table's type and a key that the rows hold
+    twice are errors before anything is written. Column names match in any case;
     ``folded`` rows come from a keyed fold of files that were checked.
     """
     spark = df.sparkSession
@@ -202,7 +211,12 @@ def merge_into_table(
     with Staging(spark) as staging:
         extra = [REWRITTEN] if folded else []
         target, wanted = _target(spark, table, stamped, extra)
-        source = staging.table(conform_schema(stamped, wanted), "source")
+        lost = lost_value(stamped, wanted).alias(LOST)
+        source = staging.table(conform_schema(stamped, wanted, [lost]), "source")
+        bad = source.filter(quoted(LOST).isNotNull()).select(LOST).first()
+        if bad is not None:
+            raise ValueError(f"{table}: value does not fit column {bad[0]}")
+        source = source.drop(LOST)
         if keys and not folded:
             doubled = pk_violations(source.filter(~any_null(keys)), keys)
             if not doubled.isEmpty():
@@ -248,7 +262,8 @@ def _target(
     """The target table, and the schema the source takes for it with ``extra`` columns."""
     columns = [f for f in source.schema.fields if f.name not in extra]
     target = table_or_empty(spark, table, StructType(columns))
-    unknown = {f.name for f in columns} - set(target.columns)
+    known = {name.lower() for name in target.columns}
+    unknown = [f.name for f in columns if f.name.lower() not in known]
     if unknown:
         raise ValueError(f"{table} has no column for {sorted(unknown)}")
     kept = [f for f in source.schema.fields if f.name in extra]

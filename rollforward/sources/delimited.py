@@ -2,13 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Iterator
+from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    DataType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    NumericType,
+    StringType,
+    StructField,
+    StructType,
+)
+
+from ..functions.columns import quoted
 
 INDEX_COLUMN = "_c0"
+HEADER_BYTES = 1 << 16  # read at once until the header line ends
 
 
 def read_csv(
@@ -21,6 +38,7 @@ def read_csv(
     delimiter: str = ",",
     drop_index_column: bool = False,
     with_file: bool = False,
+    order: Iterable[str] = (),
 ) -> DataFrame:
     """Scan any number of files at once.
 
@@ -29,22 +47,110 @@ def read_csv(
     NULL, surplus fields are dropped, an empty field is NULL. ``drop_index_column``
     drops ``_c0``: the first column without a header, or one with an empty header.
     ``with_file`` adds ``file_name`` and ``file_time`` (the file's modification time).
+
+    With a ``header`` columns go by name, in any case: files are read in groups of one
+    header line, and a column that a file does not have is NULL there. Columns come in the
+    order of ``schema``, else of ``order``, else of the first header. A schema that has no
+    name in common with a header names its columns by position.
     """
     reader = spark.read.option("header", header).option("sep", delimiter)
-    if schema is not None:
-        reader = reader.schema(schema)
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    groups = header_groups(spark, paths) if header else []
+    plain = reader.option("inferSchema", infer_schema)
+    if not groups:
+        parts = [(reader.schema(schema) if schema is not None else plain).csv(paths)]
+    elif schema is not None:
+        parts = [reader.schema(_by_name(schema, reader_names(spark, files, delimiter))).csv(files) for files in groups]
     else:
-        reader = reader.option("inferSchema", infer_schema)
-    df = reader.csv(paths if isinstance(paths, str) else list(paths))
-    columns = [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+        parts = [plain.csv(files) for files in groups]
+    names: dict[str, str] = {}
+    for name in [*(schema.names if schema is not None else order), *[c for part in parts for c in part.columns]]:
+        names.setdefault(name.lower(), name)
+    present = {c.lower() for part in parts for c in part.columns}
+    wanted = schema.names if schema is not None else [n for low, n in names.items() if low in present]
     if drop_index_column:
-        columns = [c for c, name in zip(columns, df.columns) if name != INDEX_COLUMN]
+        wanted = [name for name in wanted if name != INDEX_COLUMN]
+    types = {f.name.lower(): f.dataType for f in schema.fields} if schema is not None else _widest(parts)
+    return reduce(DataFrame.unionByName, [_picked(part, wanted, types, with_file) for part in parts])
+
+
+def reader_names(spark: SparkSession, files: list[str], delimiter: str) -> list[str]:
+    """The columns of files that share a header, as Spark names them."""
+    return spark.read.option("header", True).option("sep", delimiter).csv(files[0]).columns
+
+
+def _by_name(schema: StructType, names: list[str]) -> StructType:
+    """The schema in the order of a file's columns."""
+    fields = {f.name.lower(): f for f in schema.fields}
+    if not any(name.lower() in fields for name in names):
+        return schema
+    return StructType([fields.get(name.lower(), StructField(name, StringType())) for name in names])
+
+
+def _widest(parts: list[DataFrame]) -> dict[str, DataType]:
+    """A type per column that holds what was inferred for each group of files."""
+    types: dict[str, DataType] = {}
+    for field in [f for part in parts for f in part.schema.fields]:
+        name, known = field.name.lower(), types.get(field.name.lower(), field.dataType)
+        if known == field.dataType:
+            types[name] = known
+        elif isinstance(known, NumericType) and isinstance(field.dataType, NumericType):
+            whole = {IntegerType(), LongType()}
+            types[name] = LongType() if {known, field.dataType} <= whole else DoubleType()
+        else:
+            types[name] = StringType()
+    return types
+
+
+def _picked(part: DataFrame, wanted: list[str], types: dict[str, DataType], with_file: bool) -> DataFrame:
+    present = {c.lower(): c for c in part.columns}
+    columns = []
+    for name in wanted:
+        own = present.get(name.lower())
+        value = F.lit(None) if own is None else quoted(own)
+        columns.append(value.cast(types[name.lower()]).alias(name))
     if with_file:
         columns += [
             F.col("_metadata.file_path").alias("file_name"),
             F.col("_metadata.file_modification_time").alias("file_time"),
         ]
-    return df.select(*columns)
+    return part.select(*columns)
+
+
+def header_groups(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """The files by header line, the group of the first file first; files without one are left out.
+
+    Headers are read on the executors, some bytes of each file. The driver holds the names
+    of the files, as it does to plan any scan.
+    """
+
+    def first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = []
+            for uri in batch.column(0).to_pylist():
+                system, path = FileSystem.from_uri(uri)
+                with system.open_input_stream(path) as stream:
+                    text = b""
+                    while b"\n" not in text and (more := stream.read(HEADER_BYTES)):
+                        text = (text + more).lstrip(b"\r\n")
+                lines.append(text.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8", "replace"))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(lines, pa.string())], names=["file_name", "file_time", "header"]
+            )
+
+    schema = "file_name string, file_time timestamp, header string"
+    headers = list_files(spark, paths).mapInArrow(first_lines, schema).filter("header != ''")
+    first = F.min(F.struct("file_time", "file_name"))
+    groups = headers.groupBy("header").agg(first.alias("first"), F.sort_array(F.collect_list("file_name")).alias("files"))
+    groups = sorted(groups.collect(), key=lambda row: row["first"])
+    return [[_as_path(uri) for uri in row["files"]] for row in groups]
+
+
+def _as_path(uri: str) -> str:
+    """A file's URI as a path to read, in which nothing stands for other characters."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(uri))
 
 
 def list_files(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:

@@ -89,6 +89,20 @@ def replace_partitions(df: DataFrame, table: str, partition_by: str, root: str)
     spark.catalog.refreshTable(table)
 
 
+def drop_partitions(spark: SparkSession, table: str, partition_by: str, low: int, high: int) -> None:
+    """Delete the partitions of a table from ``low`` to ``high``, both included.
+
+    Folders are listed, so the work grows with the partitions and not with their rows.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(table_location(spark, table))
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in system.listStatus(root):
+        name, _, value = status.getPath().getName().partition("=")
+        if name == partition_by and value.lstrip("-").isdigit() and low <= int(value) <= high:
+            system.delete(status.getPath(), True)
+    spark.catalog.refreshTable(table)
+
+
 def table_location(spark: SparkSession, table: str) -> str:
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
     return described.filter("col_name = 'Location'").first()["data_type"]

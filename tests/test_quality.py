@@ -139,3 +139,19 @@ def test_primary_key_checks(spark):
         ("duplicate_key", 2, 2),
         ("null_key", None, 1),
     ]
+
+
+@pytest.mark.parametrize("mode", ["keep_one", "drop_all"])
+def test_identity_under_two_keys_is_no_copy(spark, mode):
+    data = [(1, "x", 1), (1, "y", 2), (2, "x", 1), (2, "z", 2), (2, "z", 2)]
+    df = spark.createDataFrame(data, "k int, h string, o int")
+    rules = Rules(key=("k",), order=("o",), full_duplicates=mode, identity=("h",))
+    good, bad = rows(quality.clean(df, rules)), rows(quality.rejected(df, rules))
+    assert good == [(1, "x", 1), (2, "x", 1)]
+    counted = {r["outcome"]: r["n"] for r in quality.summary(df, rules).collect()}
+    assert counted["clean"] == 2
+    expected = [(1, "y", 2, "duplicate_key"), (2, "z", 2, "full_duplicate")]
+    if mode == "keep_one":
+        expected.insert(1, (2, "z", 2, "duplicate_key"))
+        assert sum(counted.values()) == len(data)
+    assert bad == expected
