@@ -19,7 +19,7 @@ from __future__ import annotations
 import heapq
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -40,11 +40,17 @@ PIECES = (
 
 
 MARKS = b".,;:!?*#$%&"
+JOINED = 4_000  # words that go through the tokenizer as one text
+GROUP_BYTES = 1 << 20  # of texts whose new words are learned together
 
 
 def split_word(word: bytes) -> tuple[bytes, bytes]:
-    """A word in lower case and the marks at its end, which the tokenizer takes apart anyway."""
-    word = word.lower()  # of bytes: ASCII only
+    """A word in lower case and the marks at its end, which the tokenizer takes apart anyway.
+
+    A letter that a combining mark follows keeps its case: some pairs compose in one case only.
+    """
+    if b"\xcc" not in word and b"\xcd" not in word:
+        word = word.lower()  # of bytes: ASCII only
     core = word.rstrip(MARKS)
     if core and core != word and core.decode()[-1].isalpha():
         return core, word[len(core) :]
@@ -63,31 +69,79 @@ class WordIds(dict):
         super().__init__()
         self.file, self.tokenizer = tokenizer_file, None
 
+    def _load(self) -> None:
+        from tokenizers import Tokenizer
+
+        # a task has one core: threads for a handful of words cost more than the words
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.tokenizer = Tokenizer.from_file(self.file)
+        self.tokenizer.encode_special_tokens = True
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab()
+        self.is_end = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        if suffix:
+            self.is_end[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+
+    def _encode(self, words: list[str]) -> Iterator[bytes]:
+        for found in self.tokenizer.encode_batch_fast(words, add_special_tokens=False):
+            yield np.array(found.ids, "<u4").tobytes()
+
+    def _encode_joined(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words of letters: as one text, cut where a token ends a word.
+
+        Each word gives one such token or more. If there are more of them than words, the
+        tokenizer has taken a word apart, and the words are encoded one by one.
+        """
+        for start in range(0, len(words), JOINED):
+            part = words[start : start + JOINED]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ends = (np.flatnonzero(self.is_end[ids]) + 1) * 4
+            if len(ends) != len(part) or ends[-1] != 4 * len(ids):
+                yield from self._encode(part)
+                continue
+            raw, ends = ids.tobytes(), ends.tolist()
+            yield from map(raw.__getitem__, map(slice, [0, *ends], ends))
+
     def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self]
+        new = words.difference(self)
         if not new:
             return
         if self.tokenizer is None:
-            from tokenizers import Tokenizer
-
-            # a task has one core: threads for a handful of words cost more than the words
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"
-            self.tokenizer = Tokenizer.from_file(self.file)
-            self.tokenizer.encode_special_tokens = True
+            self._load()
         if len(self) + len(new) > self.LIMIT:
             self.clear()
-            new = list(words)
+            new = words
         halves = {w: split_word(w) for w in new}
-        parts = [p for p in {p for pair in halves.values() for p in pair if p} if p not in self]
-        encoded = self.tokenizer.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)
-        self.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(parts, encoded))
+        parts = {p for pair in halves.values() for p in pair if p and p not in self}
+        letters: list[bytes] = []
+        others: list[bytes] = []
+        texts: tuple[list[str], list[str]] = ([], [])
+        for part in parts:
+            text = part.decode()
+            plain = text.isalpha()
+            (letters if plain else others).append(part)
+            texts[0 if plain else 1].append(text)
+        self.update(zip(letters, self._encode_joined(texts[0])))
+        self.update(zip(others, self._encode(texts[1])))
         self[b""] = b""
         self.update((w, self[core] + self[end]) for w, (core, end) in halves.items())
 
-    def of(self, text: bytes) -> bytes:
-        words = text.split()
-        self.learn(set(words))
-        return b"".join(map(self.__getitem__, words))
+    def of(self, texts: Iterable[bytes]) -> Iterator[bytes]:
+        """The ids of each text; new words of a group of texts are learned together."""
+        group: list[list[bytes]] = []
+        held = 0
+        for text in texts:
+            group.append(text.split())
+            held += len(text)
+            if held >= GROUP_BYTES:
+                yield from self._of_group(group)
+                group, held = [], 0
+        yield from self._of_group(group)
+
+    def _of_group(self, group: list[list[bytes]]) -> Iterator[bytes]:
+        self.learn(set().union(*group))
+        for words in group:
+            yield b"".join(map(self.__getitem__, words))
 
 
 _IDS: dict[str, WordIds] = {}  # per Python worker
@@ -102,8 +156,8 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, end_id: int, capacity: in
         part, piece = TaskContext.get().partitionId(), 0
         for batch in batches:
             out: dict[str, list] = {name: [] for name in ("doc_id", "start", "length", "crc", "tokens")}
-            for doc_id, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1))):
-                ids = ids_of.of(text) + end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), ids_of.of(as_bytes(batch.column(1)))):
+                ids += end
                 n = len(ids) // 4
                 whole = n - n % capacity
                 for start in [*range(0, whole, capacity), *range(whole, n, REST)]:

@@ -51,6 +51,20 @@ def test_pieces_hold_all_ids(documents):
         assert at <= 4096
 
 
+def test_words_learned_together_have_the_ids_of_the_text():
+    tokenizer = Tokenizer.from_file(FILE)
+    tokenizer.encode_special_tokens = True
+    # pairs that compose in lower case only, marks, letters that lower-case to two signs
+    signs = ["J\u030c", "T\u0308", "\u0130", "\u00df", "a", "Z", "'s", "1", ".", "!?", "\u65e5", "\u3000", "\x1c", "\u0340"]
+    random = np.random.default_rng(3)
+    texts = ["".join(random.choice([*signs, " ", "\n"], 40)) for _ in range(300)]
+    ids = packing.WordIds(FILE)
+    ids.LIMIT = 400  # forgets between groups
+    for group in (texts[:150], texts[150:], []):
+        expected = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in group]
+        assert list(ids.of(t.encode() for t in group)) == expected
+
+
 def test_differencing_balances():
     sizes = np.random.default_rng(1).integers(1, 1025, 2000).tolist()
     bins, sums = packing.karmarkar_karp(sizes, 250)
