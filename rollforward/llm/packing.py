@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import heapq
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -52,11 +53,16 @@ def split_word(word: bytes) -> tuple[bytes, bytes]:
     if b"\xcc" not in word and b"\xcd" not in word:
         word = word.lower()  # of bytes: ASCII only
     core = word.rstrip(MARKS)
-    if core and core != word and core.decode()[-1].isalpha():
+    if core and core != word and (core[-1:].isalpha() or ends_in_letter(core.decode())):
         return core, word[len(core) :]
     return word, b""
 
 
+def ends_in_letter(word: str) -> bool:
+    """Whether it still does as the tokenizer reads it: some letters become a letter and a mark."""
+    return unicodedata.normalize("NFC", word[-1]).lower()[-1].isalpha()
+
+
 class WordIds(dict):
     """Token ids, as little-endian unsigned 32-bit numbers, per word between ASCII white space.
 
