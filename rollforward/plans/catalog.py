@@ -513,13 +513,16 @@ def q_version_watermark(spark, sf_dir):
     return changes.pending_versions(changes.latest_version(feed, "table_name"), watermark)
 
 
+STREAM_BATCH_BYTES = 1 << 40  # of files; few micro-batches, each a job of its own
+
+
 def q_stream_replay(spark, sf_dir):
     feed = redelivered(spark, sf_dir)
     feed_dir = shared_dir(spark, "feed")
     feed.write.partitionBy("version").parquet(feed_dir)
     stream = StreamReplay(shared_dir(spark, "stream"), CIRCUIT_ROLLUP, CIRCUIT_RULES)
     schema = StructType(feed.schema.fields)
-    query = stream.start(spark, feed_dir, schema, files_per_batch=3)
+    query = stream.start(spark, feed_dir, schema, bytes_per_batch=STREAM_BATCH_BYTES)
     query.awaitTermination()
     return stream.result(spark)
 

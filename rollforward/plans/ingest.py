@@ -28,11 +28,17 @@ from ..operators.quality import pk_violations
 from ..sources.delimited import list_files, read_csv
 from ..sources.snapshots import (
     append,
+    current_location,
     discard,
+    drop_partitions,
+    label_of,
+    labelled_version,
     publish,
     replace_partitions,
+    require_location,
     shared_dir,
     table_or_empty,
+    version_label,
 )
 
 FILE_COLUMNS = ("file_name", "file_time")
@@ -200,7 +206,9 @@ def merge_into_table(
 
     With ``primary_key`` changed rows are updated and new ones inserted, else rows with
     a new hash are inserted. ``changes_table`` receives the change rows as one new
-    version. A value that does not fit the table's type and a key that the rows hold
+    version, the one after that which the table's snapshot is labelled with; so a merge
+    that broke off before the snapshot was published is replaced by its repetition. A
+    table that another load has changed in the meantime is an error. A value that does not fit the table's type and a key that the rows hold
     twice are errors before anything is written. Column names match in any case;
     ``folded`` rows come from a keyed fold of files that were checked.
     """
@@ -210,6 +218,7 @@ def merge_into_table(
     stamped = with_load_stamps(hashed, _time(load_time))
     with Staging(spark) as staging:
         extra = [REWRITTEN] if folded else []
+        location = current_location(spark, table)
         target, wanted = _target(spark, table, stamped, extra)
         lost = lost_value(stamped, wanted).alias(LOST)
         source = staging.table(conform_schema(stamped, wanted, [lost]), "source")
@@ -222,13 +231,25 @@ def merge_into_table(
             if not doubled.isEmpty():
                 raise ValueError("Duplicate primary keys detected")
         options = {"keys": keys, "force": REWRITTEN if folded else None} if keys else {}
+        require_location(spark, table, location)
+        label = label_of(location)
         if changes_table is not None:
+            version = labelled_version(location, changes_table)
+            if version is None:
+                # from here on the snapshot says which versions are part of it
+                version = _newest_version(spark, changes_table)
+                publish(target, table, f"{root}/{table}", version_label(changes_table, version))
+                location = current_location(spark, table)
+            version += 1
+            label = version_label(changes_table, version)
             moves = merge.upsert_changes if keys else merge.insert_only_changes
-            version = F.lit(_next_version(spark, changes_table)).alias("version")
-            moved = moves(target, source, **options).select("*", version)
+            moved = moves(target, source, **options).select("*", F.lit(version).alias("version"))
+            if spark.catalog.tableExists(changes_table):
+                drop_partitions(spark, changes_table, "version", version, version)
             replace_partitions(moved, changes_table, "version", root)
         merged = (merge.upsert_changed if keys else merge.insert_only)(target, source, **options)
-        publish(merged, table, f"{root}/{table}")
+        require_location(spark, table, location)
+        publish(merged, table, f"{root}/{table}", label)
 
 
 def is_file_loaded(spark: SparkSession, log_table: str, file_hash: str) -> bool:
@@ -270,8 +291,8 @@ def _target(
     return target, StructType([*target.schema.fields, *kept])
 
 
-def _next_version(spark: SparkSession, changes_table: str) -> int:
+def _newest_version(spark: SparkSession, changes_table: str) -> int:
     if not spark.catalog.tableExists(changes_table):
-        return 0
+        return -1
     newest = changes.latest_version(spark.table(changes_table)).first()[0]
-    return 0 if newest is None else newest + 1
+    return -1 if newest is None else newest

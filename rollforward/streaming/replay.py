@@ -2,12 +2,16 @@
 
 The kept state is the rollup per (entity, version, date). Parts of it combine in any
 order, so the result does not depend on how files fall into micro-batches, nor on the
-order they arrive in: it equals the batch replay of the same feed.
+order they arrive in: it equals the batch replay of the same feed, as long as the rules'
+key stands for the row. Rules by which a later row can undo what an earlier micro-batch
+kept (an order, or ``drop_all``) are refused.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.columns import quoted
-from ..operators.quality import DUPLICATE_KEY, Rules, clean, rejected
+from ..operators.quality import DROP_ALL, DUPLICATE_KEY, Rules, clean, rejected
 from ..operators.rollup import Rollup, newest_part, recombine, rollup_by_date
 
 
@@ -33,6 +37,10 @@ class StreamReplay:
     rules: Rules
     version: str = "version"
 
+    def __post_init__(self):
+        if self.rules.order or self.rules.full_duplicates == DROP_ALL:
+            raise ValueError("rules with an order or drop_all need the batch replay")
+
     def start(
         self,
         spark: SparkSession,
@@ -40,11 +48,17 @@ class StreamReplay:
         schema: StructType,
         *,
         files_per_batch: int | None = None,
+        bytes_per_batch: int | None = None,
     ) -> StreamingQuery:
-        """Process the files that are there and stop; a later start resumes."""
+        """Process the files that are there and stop; a later start resumes.
+
+        A micro-batch may be bounded by the number or the size of its files.
+        """
         reader = spark.readStream.schema(schema)
         if files_per_batch is not None:
             reader = reader.option("maxFilesPerTrigger", files_per_batch)
+        if bytes_per_batch is not None:
+            reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
         return (
             reader.parquet(feed_dir)
             .writeStream.foreachBatch(self.apply)
@@ -66,11 +80,12 @@ class StreamReplay:
                 spark.read.schema(_with_batch(schema)).parquet(f"{self.out}/accepted")
                 .filter(F.col("batch") < batch_id)
                 .join(versions, self.version, "left_semi")
-                .select(*[quoted(c) for c in row_key])
+                .select(*[quoted(c).alias(f"__seen{i}") for i, c in enumerate(row_key)])
             )
+            same = reduce(and_, [quoted(c).eqNullSafe(F.col(f"__seen{i}")) for i, c in enumerate(row_key)])
             columns = [quoted(c) for c in schema.names]
-            again = kept.join(seen, row_key, "left_semi").select(*columns)
-            kept = kept.join(seen, row_key, "left_anti").select(*columns)
+            again = kept.join(seen, same, "left_semi").select(*columns)
+            kept = kept.join(seen, same, "left_anti").select(*columns)
             refused = refused.unionByName(
                 again.withColumn("reject_reason", F.lit(DUPLICATE_KEY))
             )

@@ -9,6 +9,7 @@ from rollforward.operators.quality import Rules
 from rollforward.plans.circuits import CIRCUIT_RULES
 from rollforward.plans.control import create_control_tables
 from rollforward.plans.incremental import move_watermark, read_watermark, reset, run
+from rollforward.plans import ingest
 from rollforward.plans.ingest import is_file_loaded, load_csv, log_file, merge_into_table
 
 from rollforward.sources.snapshots import drop_partitions, replace_partitions
@@ -239,3 +240,72 @@ def test_partitions_of_a_range_are_dropped(spark, tmp_path):
     replace_partitions(df, "ranged_t", "version", root)
     drop_partitions(spark, "ranged_t", "version", 1, 3)
     assert rows(spark.table("ranged_t"), "x") == [(0,), (4,)]
+
+
+@pytest.mark.parametrize("step", ["publish", "replace_partitions", "append"])
+def test_a_broken_off_load_is_repeated(spark, tmp_path, monkeypatch, step):
+    tag = f"broken_{step}"
+    options = {"primary_key": "id", "changes_table": f"{tag}_changes"}
+    first = put(tmp_path / "in", "a.csv", ["1,Alice", "2,Bob"])
+    second = put(tmp_path / "in", "b.csv", ["2,Bobby", "3,Cy"])
+
+    def breaks(*args, **kwargs):
+        raise OSError("broken off")
+
+    for hour, path in enumerate([first, second]):
+        for when in ("before", "after"):
+            original = getattr(ingest, step)
+
+            def breaks_after(*args, _original=original, **kwargs):
+                _original(*args, **kwargs)
+                raise OSError("broken off")
+
+            with monkeypatch.context() as patched:
+                patched.setattr(ingest, step, breaks if when == "before" else breaks_after)
+                with pytest.raises(OSError):
+                    load(spark, path, tag, tmp_path / "root", hour, **options)
+            if step == "append" and when == "after":
+                break  # the log holds the file: the load is complete
+        else:
+            load(spark, path, tag, tmp_path / "root", hour, **options)
+    assert [r[:2] for r in stamps(spark, tag)] == [(1, "Alice"), (2, "Bobby"), (3, "Cy")]
+    moves = rows(spark.table(f"{tag}_changes"), "id", "name", "_change_type")
+    assert moves == [
+        (1, "Alice", "insert"),
+        (2, "Bob", "insert"),
+        (2, "Bob", "update_preimage"),
+        (2, "Bobby", "update_postimage"),
+        (3, "Cy", "insert"),
+    ]
+    assert spark.table(f"{tag}_log").count() == 2
+
+
+def test_a_repetition_without_changes_leaves_no_stale_version(spark, tmp_path, monkeypatch):
+    options = {"primary_key": "id", "changes_table": "stale_changes", "load_time": at(1)}
+    frame = lambda *r: spark.createDataFrame(list(r), "id long, name string")
+    root = str(tmp_path / "root")
+    merge_into_table(frame((1, "a")), "stale_t", root, **options)
+    with monkeypatch.context() as patched:
+        patched.setattr(ingest, "publish", lambda *a: (_ for _ in ()).throw(OSError()))
+        with pytest.raises(OSError):
+            merge_into_table(frame((1, "b")), "stale_t", root, **options)
+    merge_into_table(frame((1, "a")), "stale_t", root, **options)
+    assert rows(spark.table("stale_changes"), "id", "name", "version") == [(1, "a", 0)]
+
+
+def test_a_load_beside_another_is_an_error(spark, tmp_path, monkeypatch):
+    frame = lambda *r: spark.createDataFrame(list(r), "id long, name string")
+    root = str(tmp_path / "root")
+    merge_into_table(frame((1, "a")), "beside_t", root, primary_key="id")
+    original = ingest.lost_value
+
+    def other_load(*args):  # after the location was read, before anything is written
+        with monkeypatch.context() as patched:
+            patched.setattr(ingest, "lost_value", original)
+            merge_into_table(frame((2, "b")), "beside_t", root, primary_key="id")
+        return original(*args)
+
+    monkeypatch.setattr(ingest, "lost_value", other_load)
+    with pytest.raises(RuntimeError, match="another load"):
+        merge_into_table(frame((3, "c")), "beside_t", root, primary_key="id")
+    assert rows(spark.table("beside_t"), "id") == [(1,), (2,)]

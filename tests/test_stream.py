@@ -1,6 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
-from rollforward.operators.quality import rejected
+from rollforward.operators.quality import DROP_ALL, Rules, rejected
 from rollforward.plans.circuits import CIRCUIT_ROLLUP, CIRCUIT_RULES
 from rollforward.plans.incremental import replay
 from rollforward.streaming.replay import StreamReplay
@@ -52,3 +53,28 @@ def test_a_repeated_micro_batch_changes_nothing(spark, tmp_path):
     once = rows(stream.result(spark), *NAMES)
     stream.apply(second, 1)
     assert rows(stream.result(spark), *NAMES) == once
+
+
+def test_null_keys_count_once_over_micro_batches(spark, tmp_path):
+    feed = spark.createDataFrame(random_feed(7, 60, 1), SCHEMA)
+    rules = Rules(key=("circuit_id", "section_id"))
+    with_null = feed.limit(1).withColumn("section_id", F.lit(None).cast(feed.schema["section_id"].dataType))
+    stream = StreamReplay(str(tmp_path / "out"), CIRCUIT_ROLLUP, rules)
+    stream.apply(with_null, 0)
+    stream.apply(with_null, 1)
+    expected = replay(with_null.unionByName(with_null), CIRCUIT_ROLLUP, rules)
+    assert rows(stream.result(spark), *NAMES) == rows(expected, *NAMES)
+
+
+@pytest.mark.parametrize("rules", [Rules(("row_hash",), order=("version",)), Rules(("row_hash",), full_duplicates=DROP_ALL)])
+def test_rules_that_undo_earlier_batches_are_refused(rules):
+    with pytest.raises(ValueError, match="batch replay"):
+        StreamReplay("unused", CIRCUIT_ROLLUP, rules)
+
+
+def test_micro_batches_by_size(spark, tmp_path):
+    feed = spark.createDataFrame(random_feed(8, 60, 2), SCHEMA)
+    write_feed(feed, str(tmp_path / "feed"), 2)
+    stream = StreamReplay(str(tmp_path / "out"), CIRCUIT_ROLLUP, CIRCUIT_RULES)
+    stream.start(spark, str(tmp_path / "feed"), feed.schema, bytes_per_batch=1).awaitTermination()
+    assert rows(stream.result(spark), *NAMES) == rows(replay(feed, CIRCUIT_ROLLUP, CIRCUIT_RULES), *NAMES)
