@@ -9,7 +9,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.snapshots import shared_dir
-from . import class_lm, exact_dedup, html_text, language_id, minhash, mixing, packing, substring_dedup, syncmers, warc
+from . import (
+    class_lm,
+    exact_dedup,
+    hard_negatives,
+    html_text,
+    language_id,
+    minhash,
+    mixing,
+    packing,
+    phrases,
+    rules,
+    substring_dedup,
+    syncmers,
+    warc,
+)
 from .common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -84,6 +98,24 @@ def op10_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", F.coalesce(kept, F.lit(False)).alias("kept"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = checksum_of_id(3) == 1
+    scored = rules.score(docs.withColumn("held_out", held_out), table(spark, sf_dir, "labels"), ~F.col("held_out"))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -97,6 +129,9 @@ QUERIES = {
         op8_substring_dedup,
         op9_syncmer_fingerprints,
         op10_bbit_minhash,
+        op11_collocations,
+        op12_quality_rules,
+        op13_hard_negatives,
     )
 }
 
@@ -196,5 +231,66 @@ WITH texts AS (
 SELECT t.doc_id, CAST(len(t.words) AS BIGINT) AS n_words, coalesce(l.n_removed, 0) AS n_removed,
        sha256(coalesce(l.kept, '')) AS kept_sha256
 FROM texts t LEFT JOIN left_over l USING (r)
+""",
+    "op11_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), sizes AS (
+  SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM words GROUP BY lang
+), starts AS (
+  SELECT lang, words, unnest(range(1, len(words) + 1)) AS place FROM words
+), grams AS (
+  SELECT lang, k, array_to_string(words[place : place + k - 1], ' ') AS phrase
+  FROM starts, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE place + k - 1 <= len(words)
+), f AS (
+  SELECT lang, k, phrase, string_split(phrase, ' ') AS parts, count(*)::HUGEINT AS a
+  FROM grams GROUP BY ALL HAVING count(*) >= 30
+), cuts AS (
+  SELECT c.lang, c.phrase, c.k, c.a, i, l.a AS l, r.a AS r, 2000000 * c.a // (l.a + r.a) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS i FROM f WHERE k > 1) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.parts[1 : i], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.parts[i + 1 : c.k], ' ')
+), weakest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1
+), inside AS (
+  SELECT lang, array_to_string(parts[i : i + n - 1], ' ') AS phrase, max(a) AS longer
+  FROM f, (SELECT unnest([2, 2, 2, 3, 3]) AS n, unnest([1, 2, 3, 1, 2]) AS i)
+  WHERE n < k AND i + n - 1 <= k GROUP BY ALL
+), ranked AS (
+  SELECT w.*, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM weakest w LEFT JOIN inside i USING (lang, phrase) WHERE coalesce(100 * i.longer < 80 * w.a, true)
+)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n,
+       CAST(score AS BIGINT) AS score
+FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+""",
+    "op13_hard_negatives": r"""
+WITH vectors AS (
+  SELECT row_number() OVER () AS row, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.row AS anchor, a.vec_id AS anchor_id, b.row, b.vec_id, a.label = b.label AS same,
+         CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.row <> b.row
+), positive AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id,
+       p.score AS positive_score, n.score AS negative_score,
+       CAST(row_number() OVER (PARTITION BY p.anchor, p.row ORDER BY n.score DESC, n.vec_id NULLS LAST) AS INTEGER) AS rank
+FROM positive p JOIN scored n
+  ON n.anchor = p.anchor AND NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY rank <= 5
 """,
 }
