@@ -12,6 +12,9 @@ first pass therefore counts words and pairs in hashed cells. Cells can only coun
 so a cell below the threshold proves its pairs to be rare, and suffixes end where a
 rare pair begins: what remains is short and mostly alike, and equal suffixes of a stretch of
 text are sent as one. A crowded table of cells only lets more through; the counts stay exact.
+The same pass counts prefixes in buckets by hash, for the grouping: a bucket is never split
+between groups, so suffixes with a common prefix meet. A stretch sends each group one
+compressed block with the words it uses and its suffixes as numbers.
 
 Defined results: NULL text counts as empty, NULL language as ``und``. A table without words
 gives no rows. Repeated rows count each time. Texts are read whole, however long; a stretch
@@ -21,7 +24,6 @@ is a number of whole texts, or one text longer than that. Other columns are not
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +35,9 @@ from pyspark.sql import functions as F
 from .common import BASE, mixed, release_memory, stage
 
 LONGEST = 4
-STRETCH = 1 << 22  # bytes of text handled together
-BUDGET = 200_000  # suffixes in a group
+STRETCH = 1 << 23  # bytes of text handled together
+BUDGET = 2_000_000  # occurrences of the prefixes of a group, on average; equal ones of a stretch are sent as one
+BUCKETS = 14  # power of two of buckets of prefixes of a length
 CELLS = 20, 28  # least and greatest power of two of cells
 BLOCK = 1 << 16  # cells sent together
 HITS = 1 << 23  # words and pairs counted together
@@ -47,8 +50,7 @@ FOLD = bytes.maketrans(
     ENDS + b"\t" + bytes(range(ord("A"), ord("Z") + 1)),
     BREAK * len(ENDS) + b" " + bytes(range(ord("a"), ord("z") + 1)),
 )
-WORDS = [f"w{i}" for i in range(1, LONGEST + 1)]
-SUFFIXES = ", ".join(["lang string", *[f"{w} binary" for w in WORDS], "n long"])
+BLOCKS = "grp long, lang string, block binary, words long"
 NODES = "lang string, phrase string, words int, f long"
 
 
@@ -107,9 +109,8 @@ class Stretch:
         return self.is_word[:-1] & self.is_word[1:]
 
 
-def hit_cells(lang: str, words: pa.Array, bits: int) -> np.ndarray:
+def hit_cells(stretch: Stretch, bits: int) -> np.ndarray:
     """The cells of all words and pairs, with repetitions."""
-    stretch = Stretch(lang, words)
     single, pair = stretch.cells(bits)
     return np.concatenate([single[stretch.is_word], pair[stretch.is_pair]]).astype(np.uint32)
 
@@ -146,61 +147,165 @@ def full_cells(rows: pa.Table, least: int) -> pa.Table:
     return pa.table({"block": rows["block"][:1], "bits": pa.array([bits], pa.binary())})
 
 
-def suffixes(lang: str, words: pa.Array, bits: int, full: np.ndarray) -> pa.RecordBatch:
-    """The distinct suffixes of a stretch with their numbers, and the number of words."""
-    stretch = Stretch(lang, words)
+class Grouping:
+    """Which group a suffix belongs to, from the numbers of occurrences of prefixes by bucket.
+
+    ``counts[d]`` holds them for prefixes of d + 1 words. A bucket above the budget passes its
+    suffixes on to the buckets of prefixes one word longer; neighbouring buckets that stay below
+    share a group up to the budget. Of longer prefixes only a share is passed on, so as many
+    more buckets share a group.
+    """
+
+    def __init__(self, counts: np.ndarray, budget: int):
+        self.bits = counts.shape[1].bit_length() - 1
+        self.groups, start, passed = [], 0, counts[0].sum()
+        for level in counts:
+            crowded = level > budget  # these lie below crowded ones of the level before
+            on = level[crowded].sum()
+            share = max(passed - on, 1) / max(level.sum() - on, 1)
+            before = np.cumsum(np.where(crowded, 0, level)) - level
+            group = start + (np.maximum(before, 0) * share / budget).astype(np.int64)
+            self.groups.append(np.where(crowded, -1, group))
+            start, passed = int(group.max(initial=start)) + 1, on
+        self.last = start, int(passed // budget) + 1
+
+    def of(self, prefixes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Group and length of the prefix of suffixes, from the hashes of their prefixes."""
+        start, n = self.last
+        group = start + (prefixes[-1] % np.uint64(n)).astype(np.int64)
+        length = np.full(len(group), LONGEST)
+        for depth in range(len(self.groups) - 1, -1, -1):
+            found = self.groups[depth][bucket(prefixes[depth], self.bits)]
+            group, length = np.where(found >= 0, found, group), np.where(found >= 0, depth + 1, length)
+        return group, length
+
+
+def bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def prefix_hashes(hashes: np.ndarray, words: list[np.ndarray]) -> list[np.ndarray]:
+    """Hashes of the prefixes of suffixes given as columns of word numbers, -1 past their end."""
+    out, total = [], np.zeros(len(words[0]), np.uint64)
+    for word in words:
+        own = np.where(word < 0, np.uint64(0), hashes[word])
+        total = mixed(total * np.uint64(BASE) + own + np.uint64(1))
+        out.append(total)
+    return out
+
+
+def prefix_counts(stretch: Stretch, bits: int) -> np.ndarray:
+    """Occurrences of prefixes of one word less than a suffix, and of shorter ones, by bucket."""
+    places = np.flatnonzero(stretch.is_word)
+    here, words = np.ones(len(places), bool), []
+    for depth in range(LONGEST - 1):
+        at = np.minimum(places + depth, len(stretch.ids) - 1)
+        here = here & (places + depth < len(stretch.ids)) & stretch.is_word[at]
+        words.append(np.where(here, stretch.ids[at], -1))
+    hashed = prefix_hashes(stretch.hash, words)
+    return np.stack([np.bincount(bucket(h, bits), minlength=1 << bits) for h in hashed])
+
+
+def suffixes(stretch: Stretch, bits: int, full: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct suffixes of a stretch, as columns of word numbers, and how often they occur."""
     single, pair = stretch.cells(bits)
     often = lambda cell: (full[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
-    alive = stretch.is_word & often(single)
-    goes_on = stretch.is_pair & often(pair)
-    ids = stretch.ids
-    held, rank = [], np.zeros(np.count_nonzero(alive), np.int64)
-    places = np.flatnonzero(alive)
-    here = np.ones(len(places), bool)
+    goes_on = np.r_[stretch.is_pair & often(pair), False]
+    places = np.flatnonzero(stretch.is_word & often(single))
+    here, held, rank = np.ones(len(places), bool), [], np.zeros(len(places), np.int64)
     for depth in range(LONGEST):
         if depth:
-            last = np.minimum(places + depth - 1, max(len(goes_on) - 1, 0))
-            here = here & (places + depth < len(ids)) & (goes_on[last] if len(goes_on) else False)
-        word = np.where(here, ids[np.minimum(places + depth, len(ids) - 1)], -1)
+            here = here & goes_on[np.minimum(places + depth - 1, len(goes_on) - 1)]
+        word = np.where(here, stretch.ids[np.minimum(places + depth, len(stretch.ids) - 1)], -1)
         held.append(word)
         _, rank = np.unique(rank * (len(stretch.names) + 1) + word + 1, return_inverse=True)
     _, first, n = np.unique(rank, return_index=True, return_counts=True)
-    columns = []
-    for word in held:
-        own = word[first]
-        columns.append(stretch.names.take(pa.array(np.where(own < 0, 0, own), mask=own < 0)))
+    return [word[first] for word in held], n
+
+
+def blocks(lang: str, words: pa.Array, bits: int, full: np.ndarray, grouping: Grouping) -> pa.RecordBatch:
+    """The suffixes of a stretch, one block per group, and the number of words of the language."""
+    stretch = Stretch(lang, words)
+    columns, n = suffixes(stretch, bits, full)
+    group, length = grouping.of(prefix_hashes(stretch.hash, columns))
+    by = np.lexsort((*columns[::-1], group))
+    group = group[by]
+    starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.zeros(0, int)
+    packed = [
+        pack(stretch.names, np.stack([c[part] for c in columns]), n[part], length[part])
+        for part in np.split(by, starts[1:])
+        if len(part)
+    ]
     total = int(np.count_nonzero(stretch.is_word))
-    columns = [pa.concat_arrays([c, pa.nulls(1, pa.binary())]) for c in columns]
-    columns = [pa.array([lang] * (len(first) + 1), pa.string()), *columns, pa.array([*n.tolist(), total], pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, names=["lang", *WORDS, "n"])
+    arrays = [
+        pa.array([*group[starts].tolist(), None], pa.int64()),
+        pa.array([lang] * (len(packed) + 1), pa.string()),
+        pa.array([*packed, None], pa.binary()),
+        pa.array([0] * len(packed) + [total], pa.int64()),
+    ]
+    return pa.RecordBatch.from_arrays(arrays, names=["grp", "lang", "block", "words"])
+
+
+def pack(names: pa.Array, ids: np.ndarray, n: np.ndarray, length: np.ndarray) -> bytes:
+    """The words that suffixes use, and the suffixes as their places, in Arrow's own format."""
+    used, places = np.unique(ids, return_inverse=True)
+    some = used[used >= 0]
+    places = places.reshape(ids.shape) - (len(used) - len(some))  # -1 stays -1
+    kind = np.int16 if len(some) < 1 << 15 else np.int32
+    table = pa.table(
+        {f"w{i}": places[i].astype(kind) for i in range(LONGEST)} | {"n": n.astype(np.int64), "prefix": length.astype(np.int8)}
+    )
+    used_words = pa.table({"word": names.take(pa.array(some))})
+    sink = pa.BufferOutputStream()
+    for part in (used_words, table):
+        with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            writer.write_table(part)
+    return sink.getvalue().to_pybytes()
+
+
+def unpack(block: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    source = pa.BufferReader(block)
+    words = pa.ipc.open_stream(source).read_all()["word"].combine_chunks()
+    table = pa.ipc.open_stream(source).read_all()
+    ids = np.stack([table[f"w{i}"].to_numpy().astype(np.int64) for i in range(LONGEST)])
+    return words, ids, table["n"].to_numpy(), table["prefix"].to_numpy()
 
 
 def subtree(rows: pa.Table, least: int) -> pa.Table:
     """The nodes below the prefixes of a group: phrase, depth, occurrences.
 
-    A node above its prefix's end holds a part of its total only, and is returned
-    however small it is.
+    Suffixes are sorted, so a node is a run of them and its total a sum over the run. A node
+    above its prefix's end holds a part of its total only, and is returned however small it is.
     """
-    texts = pa.chunked_array([c for w in ("lang", *WORDS) for c in rows[w].cast(pa.binary()).chunks], pa.binary())
-    codes = texts.combine_chunks().dictionary_encode()
-    ids = codes.indices.fill_null(-1).to_numpy().astype(np.int64).reshape(LONGEST + 1, len(rows))
+    langs, blocks_ = rows["lang"].to_pylist(), [unpack(b.as_py()) for b in rows["block"]]
+    codes = pa.chunked_array([b[0] for b in blocks_], pa.binary()).combine_chunks().dictionary_encode()
+    names, coded = codes.dictionary.cast(pa.string()), codes.indices.to_numpy().astype(np.int64)
+    known = {lang: i for i, lang in enumerate(dict.fromkeys(langs))}
+    columns, start = [], 0
+    for lang, (words, ids, _, _) in zip(langs, blocks_):
+        own = np.r_[coded[start : start + len(words)], -1]  # place -1 is the last
+        columns.append(np.vstack([np.full(ids.shape[1], known[lang]), own[ids]]))
+        start += len(words)
+    ids = np.concatenate(columns, axis=1)
+    n, whole = (np.concatenate([b[i] for b in blocks_]) for i in (2, 3))
     by = np.lexsort(ids[::-1])
-    ids, n, whole = ids[:, by], rows["n"].to_numpy()[by], rows["prefix"].to_numpy()[by]
-    names = codes.dictionary.cast(pa.string()).to_pylist()
+    ids, n, whole = ids[:, by], n[by], whole[by]
     new = np.ones(len(by), bool)
     new[1:] = ids[0, 1:] != ids[0, :-1]
-    parts = []
+    lang_names, parts = pa.array(list(known), pa.string()), []
     for depth in range(1, LONGEST + 1):
         new[1:] |= ids[depth, 1:] != ids[depth, :-1]
         starts = np.flatnonzero(new)
         total = np.add.reduceat(n, starts)
         kept = (ids[depth, starts] >= 0) & ((total >= least) | (whole[starts] > depth))
         at = starts[kept]
-        langs = [names[i] for i in ids[0, at]]
-        texts = [" ".join([names[i] for i in line]) for line in ids[1 : depth + 1, at].T]
-        parts.append((langs, texts, [depth] * len(at), total[kept].tolist()))
-    columns = [pa.array(sum(c, []), t) for c, t in zip(zip(*parts), (pa.string(), pa.string(), pa.int32(), pa.int64()))]
-    return pa.Table.from_arrays(columns, names=[c.split()[0] for c in NODES.split(", ")])
+        texts = pc.binary_join_element_wise(*[names.take(pa.array(ids[i, at])) for i in range(1, depth + 1)], " ")
+        parts.append(
+            pa.table([lang_names.take(pa.array(ids[0, at])), texts, pa.array(np.full(len(at), depth, np.int32)), pa.array(total[kept])],
+                     names=[c.split()[0] for c in NODES.split(", ")])
+        )
+    release_memory()
+    return pa.concat_tables(parts)
 
 
 # ---- on Spark -----------------------------------------------------------------------
@@ -219,77 +324,68 @@ def cell_bits(texts: DataFrame) -> int:
     return min(max(int(length // 3).bit_length(), low), high)
 
 
-def frequent_cells(texts: DataFrame, bits: int, least: int) -> np.ndarray:
-    """A bit per cell: 2 ** (bits - 3) bytes, 32 MB at most, whatever the size of the input."""
+def first_pass(texts: DataFrame, bits: int, least: int, budget: int) -> tuple[np.ndarray, Grouping]:
+    """A bit per cell, and the grouping of prefixes.
+
+    Both come to the driver and go to each executor: 2 ** (bits - 3) bytes, 32 MB at most, and
+    ``LONGEST - 1`` times 2 ** ``BUCKETS`` numbers, whatever the size of the input.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hits, n = [], 0
+        hits, n, prefixes = [], 0, 0
         for lang, words in stretches(batches):
-            hits.append(hit_cells(lang, words, bits))
+            stretch = Stretch(lang, words)
+            prefixes = prefixes + prefix_counts(stretch, BUCKETS)
+            hits.append(hit_cells(stretch, bits))
             n += len(hits[-1])
             if n >= HITS:
                 yield count_cells(hits, least)
                 hits, n = [], 0
         if n:
             yield count_cells(hits, least)
+        if not isinstance(prefixes, int):
+            dense = pa.array([p.astype("<i8").tobytes() for p in prefixes], pa.binary())
+            levels = pa.array(range(-len(prefixes), 0), pa.int64())
+            yield pa.RecordBatch.from_arrays([levels, dense, dense], names=["block", "places", "counts"])
         release_memory()
 
+    def add(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        if key[0].as_py() >= 0:
+            return full_cells(rows, least)
+        total = sum(np.frombuffer(p.as_py(), "<i8") for p in rows["places"])
+        return pa.table({"block": rows["block"][:1], "bits": pa.array([total.tobytes()], pa.binary())})
+
     counted = texts.mapInArrow(count, "block long, places binary, counts binary")
-    blocks = counted.groupBy("block").applyInArrow(lambda rows: full_cells(rows, least), "block long, bits binary")
+    added = counted.groupBy("block").applyInArrow(add, "block long, bits binary")
     full = np.zeros(1 << (bits - 3), np.uint8)
+    counts = np.zeros((LONGEST - 1, 1 << BUCKETS), np.int64)
     size = BLOCK >> 3
-    for block, line in blocks.collect():
-        full[block * size : (block + 1) * size] = np.frombuffer(line, np.uint8)
-    return full
+    for block, line in added.collect():
+        if block < 0:
+            counts[block] = np.frombuffer(line, "<i8")
+        else:
+            full[block * size : (block + 1) * size] = np.frombuffer(line, np.uint8)
+    return full, Grouping(counts, budget)
 
 
-def counted_suffixes(texts: DataFrame, least: int) -> DataFrame:
-    """Distinct suffixes with their numbers; a row without words holds a language's size."""
+def grouped_suffixes(texts: DataFrame, least: int, budget: int) -> DataFrame:
+    """Blocks of suffixes by group, written once; rows without a group count a language's words."""
     bits = cell_bits(texts)
-    full = texts.sparkSession.sparkContext.broadcast(frequent_cells(texts, bits, least))
+    known = texts.sparkSession.sparkContext.broadcast(first_pass(texts, bits, least, budget))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        full, grouping = known.value
         for lang, words in stretches(batches):
-            yield suffixes(lang, words, bits, full.value)
+            yield blocks(lang, words, bits, full, grouping)
         release_memory()
 
-    found = texts.mapInArrow(cut, SUFFIXES).groupBy("lang", *WORDS).agg(F.sum("n").alias("n"))
-    return stage(found, "suffixes")
-
+    return stage(texts.mapInArrow(cut, BLOCKS), "suffixes")
 
-def with_prefix(rows: DataFrame, budget: int) -> DataFrame:
-    """The length of each suffix's prefix: one word, or more where a prefix has too many.
 
-    There are at most as many prefixes of a length above the budget as rows divided by it.
-    """
-    long = F.lit(1)
-    marked = rows
-    for depth in range(1, LONGEST):
-        names = ["lang", *WORDS[:depth]]
-        crowded = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > budget)
-        crowded = crowded.select(*[F.col(c).alias(f"_{c}") for c in names], F.lit(depth + 1).alias(f"_long{depth}"))
-        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in names])
-        marked = marked.join(crowded, same, "left").drop(*[f"_{c}" for c in names])
-        long = F.greatest(long, F.col(f"_long{depth}"))
-    return marked.withColumn("prefix", long).select(*rows.columns, "prefix")
-
-
-def with_group(rows: DataFrame, budget: int, n_rows: int) -> DataFrame:
-    """Groups of prefixes whose suffixes fit the budget, by hash and running total."""
-    parts = 1 << min(max((8 * n_rows // budget).bit_length(), 4), 16)
-    cut = [F.when(F.col("prefix") >= i, F.col(w)) for i, w in enumerate(WORDS, start=1)]
-    dealt = rows.withColumn("part", F.pmod(F.xxhash64("lang", *cut), F.lit(parts)))
-    sizes = dealt.groupBy("part").agg(F.count(F.lit(1)).alias("k"))  # one row per part, 65,536 at most
-    before = F.sum("k").over(Window.orderBy("part")) - F.col("k")
-    groups = sizes.select("part", F.floor(before / F.lit(budget)).cast("int").alias("grp"))
-    return dealt.join(groups, "part").drop("part")
-
-
-def frequent_phrases(rows: DataFrame, least: int, budget: int = BUDGET) -> DataFrame:
+def frequent_phrases(rows: DataFrame, least: int) -> DataFrame:
     """All phrases that occur at least ``least`` times: ``lang, phrase, words, f``."""
-    suffix_rows = rows.filter(F.col("w1").isNotNull())
-    grouped = with_group(with_prefix(suffix_rows, budget), budget, suffix_rows.count())
-    nodes = grouped.groupBy("grp").applyInArrow(lambda table: subtree(table, least), NODES)
+    groups = rows.filter(F.col("grp").isNotNull()).groupBy("grp")
+    nodes = groups.applyInArrow(lambda table: subtree(table, least), NODES)
     summed = nodes.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
     return stage(summed.filter(F.col("f") >= least), "phrases")
 
@@ -307,20 +403,20 @@ def score_of(a: Column, both: Column) -> Column:
 def weakest_cut(phrases: DataFrame) -> DataFrame:
     """Candidates with the counts of the two parts at the lowest-scoring cut.
 
-    A part is looked up among the frequent phrases, dealt by a salt as well: one word may
-    be a part of many.
+    A part is looked up among the frequent phrases. One word may be a part of many, so
+    words are dealt by a salt as well.
     """
-    salted = phrases.select(
-        "lang", F.col("phrase").alias("part"), F.col("f").alias("of_part"), F.explode(F.array(*map(F.lit, range(SALTS)))).alias("salt")
-    )
+    salts = F.when(F.col("words") == 1, F.array(*map(F.lit, range(SALTS)))).otherwise(F.array(F.lit(0)))
+    salted = phrases.select("lang", F.col("phrase").alias("part"), F.col("f").alias("of_part"), F.explode(salts).alias("salt"))
     cuts = (
         phrases.filter("words > 1")
         .withColumn("k", F.explode(F.sequence(F.lit(1), F.col("words") - 1)))
-        .withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).cast("int"))
     )
+    k, rest = F.col("k"), F.col("words") - F.col("k")
+    salt = lambda n: F.when(n == 1, F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).cast("int")).otherwise(0).alias("salt")
     sides = F.array(
-        F.struct(F.lit(True).alias("first"), part_of_phrase(1, F.col("k")).alias("part")),
-        F.struct(F.lit(False).alias("first"), part_of_phrase(F.col("k") + 1, F.col("words") - F.col("k")).alias("part")),
+        F.struct(F.lit(True).alias("first"), part_of_phrase(1, k).alias("part"), salt(k)),
+        F.struct(F.lit(False).alias("first"), part_of_phrase(k + 1, rest).alias("part"), salt(rest)),
     )
     looked_up = cuts.withColumn("side", F.explode(sides)).select("*", "side.*").drop("side").join(salted, ["lang", "part", "salt"])
     scored = (
@@ -356,9 +452,9 @@ def collocations(docs: DataFrame, *, least: int = 30, percent: int = 80, most: i
     ``a`` is the number of occurrences, ``l`` and ``r`` those of the two parts of its weakest
     cut, ``n`` the number of words of the language.
     """
-    rows = counted_suffixes(texts_of(docs), least)
-    phrases = frequent_phrases(rows, least, budget)
-    sizes = rows.filter(F.col("w1").isNull()).groupBy("lang").agg(F.sum("n").alias("n"))
+    rows = grouped_suffixes(texts_of(docs), least, budget)
+    phrases = frequent_phrases(rows, least)
+    sizes = rows.filter(F.col("grp").isNull()).groupBy("lang").agg(F.sum("words").alias("n"))
     candidates = not_covered(weakest_cut(phrases), percent)
     best = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
     ranked = candidates.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= most)

@@ -54,7 +54,7 @@ def phrase_rows(seed=3):
     return rows + [(900, None, "en", None), (901, "", None, None), (902, "...", "xx", None), (903, "the of in " * 3000, "en", None)]
 
 
-@pytest.mark.parametrize("budget", [100_000, 40, 3])
+@pytest.mark.parametrize("budget", [100_000, 100, 3])
 def test_collocations_equal_brute_force(documents, budget):
     rows = phrase_rows()
     found = phrases.collocations(documents(rows), least=5, percent=80, most=50, budget=budget)
@@ -72,14 +72,27 @@ def test_stretches_and_crowded_cells_change_nothing(documents, monkeypatch):
     assert sorted(tuple(r) for r in found.collect()) == expected
 
 
-def test_no_group_is_above_the_budget(documents):
-    rows = phrases.counted_suffixes(phrases.texts_of(documents(phrase_rows())), 5).filter("w1 IS NOT NULL")
-    grouped = phrases.with_group(phrases.with_prefix(rows, 10), 10, rows.count())
-    words = [F.when(F.col("prefix") >= i, F.col(w)) for i, w in enumerate(phrases.WORDS, start=1)]
-    assert grouped.count() == rows.count()
-    assert grouped.groupBy("lang", "prefix", *words).count().agg(F.max("count")).first()[0] <= 10
-    apart = grouped.groupBy("lang", "prefix", *words).agg(F.countDistinct("grp").alias("n"))
-    assert apart.filter("n > 1").count() == 0
+def test_prefixes_stay_together_and_groups_near_the_budget(documents):
+    rng = np.random.default_rng(1)
+    words = [f"w{i}" for i in np.minimum(rng.zipf(1.3, 60_000), 400)]
+    stretch = phrases.Stretch("en", phrases.pa.array([w.encode() for w in words], phrases.pa.binary()))
+    budget = 400
+    grouping = phrases.Grouping(phrases.prefix_counts(stretch, phrases.BUCKETS), budget)
+    full = np.full(1 << 17, 255, np.uint8)
+    columns, n = phrases.suffixes(stretch, 20, full)
+    group, length = grouping.of(phrases.prefix_hashes(stretch.hash, columns))
+    assert n.sum() == len(words) and set(length) == {1, 2, 3, 4}
+    groups_of, size_of = defaultdict(set), Counter()
+    for line, g, k, times in zip(np.stack(columns).T.tolist(), group, length, n):
+        prefix = tuple(line[:k])
+        groups_of[prefix].add(g)
+        size_of[prefix] += times
+    assert all(len(g) == 1 for g in groups_of.values())
+    assert all(s <= budget for p, s in size_of.items() if len(p) < 4)
+    sizes = Counter()
+    for g, times in zip(group, n):
+        sizes[g] += times
+    assert np.mean(list(sizes.values())) < budget and max(sizes.values()) < 3 * budget
 
 
 def test_scores_are_exact_beyond_64_bits(spark):
