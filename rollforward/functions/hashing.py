@@ -23,18 +23,23 @@ PART_SHIFTS = (0, 20, 40)
 LAST_SHIFTS = (0,)
 
 
-def row_hash(names: Iterable[str]) -> Column:
+def row_hash(names: Iterable[str], values: Iterable[Column] | None = None) -> Column:
     """sha256 over the columns joined by ``||``; NULLs are skipped.
 
     ``(a, NULL, b)`` and ``(a, b, NULL)`` hash alike, and so does a value that
-    contains the separator; :func:`row_hash_null_safe` keeps them apart.
+    contains the separator; :func:`row_hash_null_safe` keeps them apart. ``values`` are
+    hashed instead of the columns of these names, where given.
     """
-    return F.sha2(F.concat_ws(SEPARATOR, *[quoted(n) for n in names]), 256)
+    return F.sha2(F.concat_ws(SEPARATOR, *_values(names, values)), 256)
 
 
-def row_hash_null_safe(names: Iterable[str]) -> Column:
+def _values(names: Iterable[str], values: Iterable[Column] | None) -> list[Column]:
+    return list(values) if values is not None else [quoted(n) for n in names]
+
+
+def row_hash_null_safe(names: Iterable[str], values: Iterable[Column] | None = None) -> Column:
     """sha256 over length-prefixed columns, with a mark for NULL."""
-    texts = [quoted(n).cast("string") for n in names]
+    texts = [v.cast("string") for v in _values(names, values)]
     parts = [F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit(NULL_MARK)) for t in texts]
     return F.sha2(F.concat_ws(SEPARATOR, *parts), 256)
 

@@ -56,6 +56,38 @@ def _matched(
     return joined, F.coalesce(changed, F.lit(False))
 
 
+INSERT, UPDATE = "insert", "update"
+
+
+def kinds_of_change(
+    target: DataFrame,
+    source: DataFrame,
+    keys: str | Iterable[str],
+    *,
+    hash_column: str = "row_hash",
+    force: str | None = None,
+    carry: Iterable[str] = (),
+) -> DataFrame:
+    """Keys that :func:`upsert_changed` would insert or update, with their ``kind``.
+
+    Only keys and hashes are read of the target, and ``carry`` of the source besides.
+    """
+    keys = as_list(keys)
+    null_key = any_null(keys)
+    columns, carried = [quoted(k) for k in keys], [quoted(c) for c in carry]
+    asked = quoted(force) if force is not None else F.lit(False)
+    given = source.select(*columns, *carried, quoted(hash_column).alias("__new"), asked.alias("__force"))
+    keyed = given.filter(~null_key)
+    old = target.filter(~null_key).select(*columns, quoted(hash_column).alias("__old"))
+    old = old.join(keyed.select(*columns), keys, "left_semi")  # no larger than the source
+    kind = F.when(F.col("__old").isNull(), F.lit(INSERT)).when(
+        (F.col("__old") != F.col("__new")) | F.col("__force"), F.lit(UPDATE)
+    )
+    moved = keyed.join(old, keys, "left").withColumn("kind", kind).filter(F.col("kind").isNotNull())
+    unkeyed = given.filter(null_key).withColumn("kind", F.lit(INSERT))
+    return moved.select(*columns, *carried, "kind").unionByName(unkeyed.select(*columns, *carried, "kind"))
+
+
 def upsert_changed(
     target: DataFrame,
     source: DataFrame,

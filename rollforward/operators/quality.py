@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +49,10 @@ class Rules:
         if self.full_duplicates not in (KEEP_ONE, DROP_ALL, OFF):
             raise ValueError(f"unknown full_duplicates: {self.full_duplicates}")
 
+    def within(self, column: str) -> Rules:
+        """The same rules among rows of one value of ``column``."""
+        return self if column in self.key else replace(self, key=(column, *self.key))
+
     def row_identity(self, df: DataFrame) -> list[str]:
         """The key belongs to it: equal ``identity`` under two keys is no copy."""
         return list(dict.fromkeys([*self.key, *self.identity])) if self.identity else df.columns

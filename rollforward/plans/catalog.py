@@ -18,7 +18,9 @@ from ..operators.first import all_but_first, dedup_by_hash, keep_first, total_or
 from ..operators.fold import fold_insert_only, fold_keyed
 from ..operators.rollup import latest_rollup, latest_with_ties
 from ..sources.delimited import read_csv, write_csv
-from ..sources.snapshots import replace_partitions, shared_dir, table_location
+from ..sources import parted
+from ..sources.snapshots import replace_partitions, shared_dir
+from ..streaming.keyed import KeyedReplay
 from ..streaming.replay import StreamReplay
 from .circuits import (
     CIRCUIT_ROLLUP,
@@ -28,8 +30,8 @@ from .circuits import (
     SECTION_ROLLUP,
     SUMMARY_SCHEMA,
 )
-from .incremental import replay, run
-from .ingest import accept_files, load_csv, rows_to_load
+from .incremental import read_watermark, replay, reset, run
+from .ingest import SET_ASIDE, accept_files, load_csv, rows_to_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -153,6 +155,19 @@ DQ_TWO_STEP = quality.Rules(
     order=("version",),
     full_duplicates=quality.OFF,
 )
+DQ_DROP_ALL = quality.Rules(
+    key=DQ_RULES.key,
+    required=DQ_RULES.required,
+    order=DQ_RULES.order,
+    full_duplicates=quality.DROP_ALL,
+    identity=DQ_RULES.identity,
+)
+# Of rows of one section and date the shortest counts, then the one with the smallest hash.
+STREAM_RULES = quality.Rules(
+    key=("version", "CIRCUIT_ID", "SECTION_ID", "F_HCA_DATE"),
+    required=("CIRCUIT_ID", "SECTION_ID"),
+    order=("SHAPE_LENGTH", "row_hash"),
+)
 LINE_ORDER = ("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax")
 LINE_OUTPUT = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
 DQ_COLUMNS = ("circuit_id", "section_id", "version", "f_hca_date", "shape_length", "row_hash")
@@ -323,7 +338,7 @@ def q_ingest_keyless(spark, sf_dir):
 
 @contextmanager
 def scratch_tables(spark: SparkSession, *names: str):
-    """Table names of one query; the tables are dropped, their files stay readable."""
+    """Names for the tables of one query; the tables are dropped afterwards."""
     mark = uuid.uuid4().hex
     tables = [f"rollforward_{name}_{mark}" for name in names]
     try:
@@ -333,25 +348,88 @@ def scratch_tables(spark: SparkSession, *names: str):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written to a folder of their own that outlives the tables they come from."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def january(day: int):
+    return F.lit(f"2024-01-{day:02d} 00:00:00").cast("timestamp")
+
+
+def _two_loads(spark, sf_dir, orders, log, moved, root):
+    """Both snapshots of orders, loaded by key."""
+    for day, snapshot in enumerate(order_snapshots(spark, sf_dir), start=1):
+        path = f"{root}/in/{day}"
+        write_csv(snapshot.select("k", "v"), path)
+        load_csv(
+            spark,
+            path,
+            orders,
+            log,
+            root,
+            primary_key="k",
+            changes_table=moved,
+            schema="k bigint, v double",
+            load_time=january(day),
+        )
+
+
 def q_load_csv(spark, sf_dir):
     root = shared_dir(spark, "load")
     with scratch_tables(spark, "orders", "log", "changes") as (orders, log, moved):
-        for day, snapshot in enumerate(order_snapshots(spark, sf_dir), start=1):
-            path = f"{root}/in/{day}"
-            write_csv(snapshot.select("k", "v"), path)
-            load_csv(
-                spark,
-                path,
-                orders,
-                log,
-                root,
-                primary_key="k",
-                changes_table=moved,
-                schema="k bigint, v double",
-                load_time=F.lit(f"2024-01-0{day} 00:00:00").cast("timestamp"),
-            )
-        result = spark.read.parquet(table_location(spark, orders))
-    return result.select("k", "v", "row_hash", "load_datetime", "updated_datetime")
+        _two_loads(spark, sf_dir, orders, log, moved, root)
+        loaded = parted.rows_of(spark, orders)
+        return kept(loaded.select("k", "v", "row_hash", "load_datetime", "updated_datetime"), "loaded")
+
+
+def q_load_changes(spark, sf_dir):
+    root = shared_dir(spark, "load")
+    with scratch_tables(spark, "orders", "log", "changes") as (orders, log, moved):
+        _two_loads(spark, sf_dir, orders, log, moved, root)
+        return kept(spark.table(moved).select("k", "v", "version", "_change_type"), "moved")
+
+
+def q_load_folder(spark, sf_dir):
+    """One folder of files with two orders of columns, whole and broken numbers, and unreadable ones."""
+    root, orders = shared_dir(spark, "load"), table(spark, sf_dir, "orders")
+    k, price = F.col("o_orderkey").alias("k"), F.col("o_totalprice")
+    text = F.when(F.col("o_orderkey") % 97 == 0, "n/a").when(F.col("o_orderkey") % 2 == 0, F.floor(price).cast("string"))
+    value = F.coalesce(text, price.cast("string")).alias("v")
+    finished = F.col("o_orderstatus") == "F"
+    write_csv(orders.filter(finished).select(k, value), f"{root}/in/a")
+    write_csv(orders.filter(~finished).select(value, k), f"{root}/in/b")
+    with scratch_tables(spark, "orders", "log", "rejects") as (loaded, log, rejects):
+        load_csv(
+            spark,
+            [f"{root}/in/a", f"{root}/in/b"],
+            loaded,
+            log,
+            root,
+            primary_key="k",
+            schema="k bigint, v double",
+            load_time=january(1),
+            bad_values=SET_ASIDE,
+            rejects_table=rejects,
+        )
+        good = parted.rows_of(spark, loaded).select("k", "v", F.lit(None).cast("string").alias("reject_reason"))
+        key = F.substring_index("line", ",", 1).cast("bigint")
+        bad = spark.table(rejects).select(key.alias("k"), F.lit(None).cast("double").alias("v"), "reject_reason")
+        return kept(good.unionByName(bad), "folder")
+
+
+def q_load_csv_keyless(spark, sf_dir):
+    root, events = shared_dir(spark, "load"), table(spark, sf_dir, "events")
+    late = F.day("ts") > 15
+    with scratch_tables(spark, "events", "log") as (loaded, log):
+        for day, rows in enumerate((events.filter(~late), events.filter(late)), start=1):
+            write_csv(rows.select("user_id", "event_type"), f"{root}/in/{day}")
+            load_csv(spark, f"{root}/in/{day}", loaded, log, root, load_time=january(day))
+        rows = parted.rows_of(spark, loaded)
+        named = rows.select(F.col("user_id").cast("bigint").alias("user_id"), "event_type", "row_hash", "load_datetime")
+        return kept(named, "loaded")
 
 
 # ---- conformance --------------------------------------------------------------------
@@ -448,6 +526,19 @@ def q_dq_rejected_two_step(spark, sf_dir):
     return rejects.select("row_hash", "reject_reason")
 
 
+def q_dq_clean_drop_all(spark, sf_dir):
+    return quality.clean(redelivered(spark, sf_dir), DQ_DROP_ALL).select(*DQ_COLUMNS)
+
+
+def q_dq_rejected_drop_all(spark, sf_dir):
+    rejects = quality.rejected(redelivered(spark, sf_dir), DQ_DROP_ALL)
+    return rejects.select("row_hash", "reject_reason")
+
+
+def q_dq_summary_drop_all(spark, sf_dir):
+    return quality.summary(redelivered(spark, sf_dir), DQ_DROP_ALL)
+
+
 # ---- rollups and replay -------------------------------------------------------------
 
 
@@ -480,25 +571,60 @@ def q_incremental_resume(spark, sf_dir):
     return replay(feed, CIRCUIT_ROLLUP, CIRCUIT_RULES, after=3, target=earlier)
 
 
-def q_incremental_run(spark, sf_dir):
+@contextmanager
+def _replayed(spark, sf_dir):
+    """The circuit feed run in two goes: root and the names of feed, rollup, watermark and rejects."""
     root = shared_dir(spark, "run")
-    names = ("feed", "rollup", "watermark", "rejects")
-    with scratch_tables(spark, *names) as (feed, rollup, watermark, rejects):
+    with scratch_tables(spark, "feed", "rollup", "watermark", "rejects") as names:
         rows = redelivered(spark, sf_dir)
         for versions in (F.col("version") <= 2, F.col("version") > 2):
-            replace_partitions(rows.filter(versions), feed, "version", root)
-            run(
-                spark,
-                feed,
-                rollup,
-                watermark,
-                rejects,
-                root,
-                mapping={},
-                change_types=None,
-            )
-        result = spark.read.parquet(table_location(spark, rollup))
-    return result
+            replace_partitions(rows.filter(versions), names[0], "version", root)
+            run(spark, *names, root, mapping={}, change_types=None)
+        yield root, *names
+
+
+def q_incremental_run(spark, sf_dir):
+    with _replayed(spark, sf_dir) as (_, _, rollup, _, _):
+        return kept(parted.rows_of(spark, rollup), "rollup")
+
+
+def q_run_rejects(spark, sf_dir):
+    with _replayed(spark, sf_dir) as (_, _, _, _, rejects):
+        return kept(spark.table(rejects).select("row_hash", "version", "reject_reason"), "rejects")
+
+
+def q_run_watermark(spark, sf_dir):
+    with _replayed(spark, sf_dir) as (_, feed, _, watermark, _):
+        mark = spark.table(watermark).filter(F.col("table_name") == feed)
+        return kept(mark.select(F.lit("feed").alias("table_name"), "last_processed_version"), "watermark")
+
+
+def q_reset_replay(spark, sf_dir):
+    with _replayed(spark, sf_dir) as (root, *names):
+        rollup, watermark = names[1], names[2]
+        reset(spark, watermark, root)
+        if read_watermark(spark, watermark, names[0]) != changes.NEVER_PROCESSED:
+            raise ValueError("the watermark was not reset")
+        run(spark, *names, root, mapping={}, change_types=None)
+        return kept(parted.rows_of(spark, rollup), "rollup")
+
+
+def q_files_to_rollup(spark, sf_dir):
+    """Raw circuit files, loaded in two goes, their changes typed, checked and rolled up."""
+    root, raw = shared_dir(spark, "files"), raw_circuits(spark, sf_dir)
+    schema = ", ".join(f"_c{i} string" for i in range(len(raw.columns) + 1))
+    names = ("raw", "log", "feed", "rollup", "watermark", "rejects")
+    with scratch_tables(spark, *names) as (loaded, log, feed, rollup, watermark, rejects):
+        for day, status in enumerate("FO", start=1):
+            rows = raw.filter(F.col("_c3") == status)
+            indexed = rows.select(F.monotonically_increasing_id().alias("_c0"), *rows.columns)
+            write_csv(indexed, f"{root}/in/{day}", header=False)
+            load_csv(
+                spark, f"{root}/in/{day}", loaded, log, root, changes_table=feed, schema=schema,
+                header=False, drop_index_column=True, load_time=january(day),
+            )
+            run(spark, feed, rollup, watermark, rejects, root)
+        return kept(parted.rows_of(spark, rollup), "rollup")
 
 
 def q_version_watermark(spark, sf_dir):
@@ -513,7 +639,9 @@ def q_version_watermark(spark, sf_dir):
     return changes.pending_versions(changes.latest_version(feed, "table_name"), watermark)
 
 
-STREAM_BATCH_BYTES = 1 << 40  # of files; few micro-batches, each a job of its own
+def _quarter_of_files(spark: SparkSession, folder: str) -> int:
+    """So many files that four micro-batches or more read them all."""
+    return max(1, len(spark.read.parquet(folder).inputFiles()) // 4)
 
 
 def q_stream_replay(spark, sf_dir):
@@ -522,11 +650,32 @@ def q_stream_replay(spark, sf_dir):
     feed.write.partitionBy("version").parquet(feed_dir)
     stream = StreamReplay(shared_dir(spark, "stream"), CIRCUIT_ROLLUP, CIRCUIT_RULES)
     schema = StructType(feed.schema.fields)
-    query = stream.start(spark, feed_dir, schema, bytes_per_batch=STREAM_BATCH_BYTES)
+    query = stream.start(spark, feed_dir, schema, files_per_batch=_quarter_of_files(spark, feed_dir))
     query.awaitTermination()
     return stream.result(spark)
 
 
+def q_stream_run(spark, sf_dir):
+    """Raw circuit rows with change types, typed and checked over several micro-batches."""
+    raw = raw_circuits(spark, sf_dir)
+    kind = F.when(F.col("_c2") == "7", "delete").when(F.col("_c2") == "6", "update_preimage").otherwise("insert")
+    version = F.year(F.col("_c14").cast("timestamp_ntz")) - 1995
+    feed = with_row_hash(raw).withColumns({"_change_type": kind, "version": version})
+    feed_dir, out = shared_dir(spark, "feed"), shared_dir(spark, "stream")
+    feed.write.partitionBy("version").parquet(feed_dir)
+    stream = KeyedReplay(
+        f"rollforward_stream_{uuid.uuid4().hex}", out, CIRCUIT_ROLLUP, STREAM_RULES,
+        mapping=RAW_MAPPING, change_types=changes.ROW_STATES,
+    )
+    try:
+        query = stream.start(spark, feed_dir, feed.schema, files_per_batch=_quarter_of_files(spark, feed_dir))
+        query.awaitTermination()
+        return kept(stream.result(spark), "rollup")
+    finally:
+        for name in stream.tables:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: function for name, function in list(globals().items()) if name.startswith("q_")
 }

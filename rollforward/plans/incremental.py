@@ -22,8 +22,17 @@ from ..operators.changes import (
 from ..operators.merge import update_all
 from ..operators.quality import Rules, clean, rejected
 from ..operators.rollup import Rollup, newest_part, rollup_by_date
-from ..sources.snapshots import drop_partitions, publish, replace_partitions, table_or_empty
+from ..sources.parted import DEFAULT_PARTS
+from ..sources.snapshots import (
+    current_location,
+    drop_partitions,
+    publish,
+    replace_partitions,
+    require_location,
+    table_or_empty,
+)
 from .circuits import CIRCUIT_ROLLUP, CIRCUIT_RULES, RAW_MAPPING
+from .ingest import Staging, replace_in_table
 
 
 def replay(
@@ -43,7 +52,7 @@ def replay(
     entity is the rollup of its greatest version, which needs no loop over versions.
     """
     pending = change_range(feed, after + 1, until, version=version)
-    kept = clean(pending, rules, [version, *spec.inputs])
+    kept = clean(pending, rules.within(version), [version, *spec.inputs])
     parts = rollup_by_date(kept, spec, [version])
     rolled = newest_part(parts, spec, [version]).select(version, *spec.outputs)
     return rolled if target is None else update_all(target, rolled, spec.keys)
@@ -62,28 +71,34 @@ def run(
     mapping: Mapping[str, tuple[str, str]] = RAW_MAPPING,
     change_types: Iterable[str] | None = ROW_STATES,
     now: datetime | None = None,
+    parts: int = DEFAULT_PARTS,
 ) -> None:
     """Bring ``target_table`` up to the newest version of ``feed_table``.
 
-    Rejects of these versions that an earlier run left are cleared first, new ones replace
-    the partitions of the versions they belong to, and the watermark is moved last, so a run that breaks off is repeated without doubling anything.
+    The pending versions are read and typed once. Of the target only the parts of the entities
+    they hold are read and written. Rejects of these versions that an earlier run left are
+    cleared first, new ones replace the partitions of the versions they belong to, and the
+    watermark is moved last, so a run that breaks off is repeated without doubling anything.
+    A run that another one overtakes is an error: it changes neither target nor watermark.
     """
     feed = spark.table(feed_table)
+    mark = current_location(spark, watermark_table)
     after = read_watermark(spark, watermark_table, feed_table)
     until = latest_version(change_range(feed, after + 1)).first()[0]  # prunes partitions
     if until is None:
         return
 
-    pending = row_states(change_range(feed, after + 1, until), change_types)
-    typed = rename_cast(pending, mapping)
-    rolled = replay(typed, spec, rules, after=after, until=until)
-    target = table_or_empty(spark, target_table, rolled.schema)
-
-    if spark.catalog.tableExists(rejects_table):
-        drop_partitions(spark, rejects_table, "version", after + 1, until)
-    replace_partitions(rejected(typed, rules), rejects_table, "version", root)
-    publish(update_all(target, rolled, spec.keys), target_table, f"{root}/{target_table}")
-    move_watermark(spark, watermark_table, feed_table, until, root, now=now)
+    with Staging(spark) as staging:
+        pending = row_states(change_range(feed, after + 1, until), change_types)
+        typed = staging.table(rename_cast(pending, mapping), "pending")
+        rolled = staging.table(replay(typed, spec, rules, after=after, until=until), "rolled")
+        require_location(spark, watermark_table, mark)  # else another run has taken these versions
+        replace_in_table(rolled, target_table, root, keys=spec.keys, parts=parts)
+        if spark.catalog.tableExists(rejects_table):
+            drop_partitions(spark, rejects_table, "version", after + 1, until)
+        replace_partitions(rejected(typed, rules), rejects_table, "version", root)
+        require_location(spark, watermark_table, mark)
+        move_watermark(spark, watermark_table, feed_table, until, root, now=now)
 
 
 def read_watermark(spark: SparkSession, watermark_table: str, table: str) -> int:

@@ -80,6 +80,33 @@ SELECT circuit_id, version, normal_voltage, feeder_voltage, feeder_max_hc, feede
     WHERE f_hca_date = m GROUP BY version, circuit_id))
 WHERE rn = 1
 """
+DROP_ALL = DIRTY + """
+, counted AS (SELECT *, count(*) OVER (PARTITION BY row_hash) AS copies FROM dirty
+  WHERE circuit_id IS NOT NULL AND section_id IS NOT NULL),
+single AS (SELECT *, row_number() OVER (PARTITION BY circuit_id, section_id, version ORDER BY row_hash) AS key_no
+  FROM counted WHERE copies = 1),
+da AS (
+  SELECT circuit_id, section_id, version, f_hca_date, shape_length, row_hash,
+    CASE WHEN circuit_id IS NULL THEN 'null:circuit_id' ELSE 'null:section_id' END AS reject_reason
+  FROM dirty WHERE circuit_id IS NULL OR section_id IS NULL
+  UNION ALL SELECT DISTINCT circuit_id, section_id, version, f_hca_date, shape_length, row_hash, 'full_duplicate'
+  FROM counted WHERE copies > 1
+  UNION ALL SELECT circuit_id, section_id, version, f_hca_date, shape_length, row_hash,
+    CASE WHEN key_no > 1 THEN 'duplicate_key' END FROM single)
+"""
+RAW_ROLLUP = """
+SELECT CIRCUIT_ID AS circuit_id, version, normal_voltage, feeder_voltage, feeder_max_hc, feeder_min_hc,
+       hca_refresh_date, shape_length FROM (
+  SELECT *, row_number() OVER (PARTITION BY CIRCUIT_ID ORDER BY version DESC) AS rn FROM (
+    SELECT version, CIRCUIT_ID, max(l_extendedprice) AS normal_voltage, max(l_quantity) AS feeder_voltage,
+      max(l_discount) AS feeder_max_hc, min(l_tax) AS feeder_min_hc, max(l_shipdate) AS hca_refresh_date,
+      sum(l_quantity) AS shape_length
+    FROM (SELECT *, max(l_shipdate) OVER (PARTITION BY version, CIRCUIT_ID) AS m FROM typed)
+    WHERE l_shipdate = m GROUP BY version, CIRCUIT_ID))
+WHERE rn = 1
+"""
+RAW_COLUMNS = """l_partkey AS CIRCUIT_ID, l_linenumber, l_linestatus, l_returnflag, l_suppkey, l_extendedprice,
+  l_discount, l_quantity, l_tax, l_shipdate"""
 VERSIONS = "SELECT event_id, user_id, CAST(day(ts) - 1 AS INTEGER) AS version FROM events"
 CURRENT = """SELECT event_type AS table_name, CAST(max(day(ts) - 1) AS BIGINT) AS current_version
 FROM events GROUP BY event_type"""
@@ -178,6 +205,23 @@ SELECT k, v, sha256(concat_ws('||', k, v)) AS row_hash, load_datetime, updated_d
     CASE WHEN ok IS NULL OR ov <> nv THEN '2024-01-02 00:00:00' ELSE '2024-01-01 00:00:00' END
       AS updated_datetime
   FROM j)
+""",
+    "load_changes": SNAPSHOTS + """
+SELECT ok AS k, ov AS v, 0 AS version, 'insert' AS _change_type FROM j WHERE ok IS NOT NULL
+UNION ALL SELECT nk, nv, 1, 'insert' FROM j WHERE ok IS NULL
+UNION ALL SELECT ok, ov, 1, 'update_preimage' FROM j WHERE ok = nk AND ov <> nv
+UNION ALL SELECT nk, nv, 1, 'update_postimage' FROM j WHERE ok = nk AND ov <> nv
+""",
+    "load_folder": """
+SELECT o_orderkey AS k,
+  CASE WHEN o_orderkey % 97 = 0 THEN NULL WHEN o_orderkey % 2 = 0 THEN floor(o_totalprice) ELSE o_totalprice END AS v,
+  CASE WHEN o_orderkey % 97 = 0 THEN 'bad_cast:v' END AS reject_reason
+FROM orders
+""",
+    "load_csv_keyless": """
+SELECT user_id, event_type, sha256(concat_ws('||', user_id, event_type)) AS row_hash,
+  CASE WHEN min(day(ts)) > 15 THEN '2024-01-02 00:00:00' ELSE '2024-01-01 00:00:00' END AS load_datetime
+FROM events GROUP BY user_id, event_type
 """,
     "load_stamp": """
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS load_datetime,
@@ -239,6 +283,13 @@ WHERE circuit_id IS NOT NULL AND section_id IS NOT NULL AND copy_no = 1
 SELECT row_hash, CASE WHEN circuit_id IS NULL THEN 'null:circuit_id'
   WHEN section_id IS NULL THEN 'null:section_id' ELSE 'duplicate_key' END AS reject_reason
 FROM fd WHERE circuit_id IS NULL OR section_id IS NULL OR copy_no > 1
+""",
+    "dq_clean_drop_all": DROP_ALL + """
+SELECT circuit_id, section_id, version, f_hca_date, shape_length, row_hash FROM da WHERE reject_reason IS NULL
+""",
+    "dq_rejected_drop_all": DROP_ALL + "SELECT row_hash, reject_reason FROM da WHERE reject_reason IS NOT NULL",
+    "dq_summary_drop_all": DROP_ALL + """
+SELECT coalesce(reject_reason, 'clean') AS outcome, count(*) AS n FROM da GROUP BY 1
 """,
     "latest_with_ties": CIRC + """
 SELECT circuit_id, CAST(section_id AS VARCHAR) AS section_id, f_hca_date, row_hash FROM (
@@ -261,6 +312,30 @@ WHERE f_hca_date = m GROUP BY circuit_id, section_id
     "incremental_resume": REPLAY,
     "incremental_run": REPLAY,
     "stream_replay": REPLAY,
+    "reset_replay": REPLAY,
+    "run_rejects": DIRTY + """
+SELECT row_hash, version, CASE WHEN circuit_id IS NULL THEN 'null:circuit_id'
+  WHEN section_id IS NULL THEN 'null:section_id' ELSE 'duplicate_key' END AS reject_reason
+FROM fd WHERE circuit_id IS NULL OR section_id IS NULL OR copy_no > 1
+""",
+    "run_watermark": """
+SELECT 'feed' AS table_name, CAST(max(year(l_shipdate) - 1995) AS BIGINT) AS last_processed_version FROM lineitem
+""",
+    "files_to_rollup": f"""
+WITH typed AS (
+  SELECT DISTINCT {RAW_COLUMNS}, CASE WHEN l_linestatus = 'F' THEN 0 ELSE 1 END AS version FROM lineitem)
+""" + RAW_ROLLUP,
+    "stream_run": f"""
+WITH hashed AS (
+  SELECT {RAW_COLUMNS}, CAST(year(l_shipdate) - 1995 AS INTEGER) AS version,
+    sha256(concat_ws('||', l_partkey, l_linenumber, l_linestatus, l_returnflag, l_linenumber, l_suppkey, l_extendedprice,
+      CASE WHEN l_discount = 0 THEN 'none' ELSE CAST(l_discount AS VARCHAR) END, l_returnflag, l_suppkey, l_quantity,
+      l_discount, l_tax, l_shipdate, l_linestatus, l_quantity)) AS row_hash
+  FROM lineitem WHERE l_linenumber NOT IN (6, 7)
+), typed AS (
+  SELECT * FROM hashed QUALIFY row_number() OVER (
+    PARTITION BY version, CIRCUIT_ID, l_linenumber, l_shipdate ORDER BY l_quantity, row_hash) = 1)
+""" + RAW_ROLLUP,
     "version_watermark": f"""
 WITH cur AS ({CURRENT}),
 seen AS (SELECT event_type AS table_name, CAST(max(day(ts) - 1) AS BIGINT) AS v FROM events

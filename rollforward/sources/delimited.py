@@ -1,31 +1,35 @@
-"""Delimited files, with the identity of the file each row came from."""
+"""Delimited files, with the identity of the file each row came from.
+
+Files with a header are read as lines of text in one scan, whatever their headers: each
+file's header becomes a list of places, one per wanted column, that its lines are joined to,
+and every line is parsed on its own and its fields picked by place. Only Spark opens files,
+so any path that Spark reads will do.
+"""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable, Iterator
-from functools import reduce
-from urllib.parse import unquote
+from collections.abc import Callable, Iterable
 
-import pyarrow as pa
-from pyarrow.fs import FileSystem
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    DataType,
-    DoubleType,
-    IntegerType,
-    LongType,
-    NumericType,
-    StringType,
-    StructField,
-    StructType,
-)
+from pyspark.sql.types import DataType, StringType, StructType
 
 from ..functions.columns import quoted
 
 INDEX_COLUMN = "_c0"
-HEADER_BYTES = 1 << 16  # read at once until the header line ends
+END = "\u0001"  # put after a header line to find the number of its fields
+
+# Types that text is tried for, narrowest first; text that fits none stays text.
+TRIED_TYPES = {
+    "int": r"^[+-]?[0-9]{1,10}$",
+    "bigint": r"^[+-]?[0-9]{1,19}$",
+    "double": r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(NaN|Infinity|Inf)$",
+    "date": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$",
+    "timestamp": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}",
+    "boolean": r"^([tT][rR][uU][eE]|[fF][aA][lL][sS][eE])$",
+}
+
+Stage = Callable[[DataFrame, str], DataFrame]
 
 
 def read_csv(
@@ -39,118 +43,156 @@ def read_csv(
     drop_index_column: bool = False,
     with_file: bool = False,
     order: Iterable[str] = (),
+    stage: Stage | None = None,
 ) -> DataFrame:
     """Scan any number of files at once.
 
     A ``schema`` spares the extra pass of type inference and keeps row hashes from
     depending on what else a file holds (``1`` or ``1.0``). Short rows are padded with
-    NULL, surplus fields are dropped, an empty field is NULL. ``drop_index_column``
-    drops ``_c0``: the first column without a header, or one with an empty header.
-    ``with_file`` adds ``file_name`` and ``file_time`` (the file's modification time).
+    NULL, surplus fields are dropped, an empty field is NULL, as is a value that does not fit
+    its type. ``drop_index_column`` drops ``_c0``: the first column without a header, or one
+    with an empty header. ``with_file`` adds ``file_name`` and ``file_time`` (the file's
+    modification time).
 
-    With a ``header`` columns go by name, in any case: files are read in groups of one
-    header line, and a column that a file does not have is NULL there. Columns come in the
+    With a ``header`` columns go by name, in any case, and a column that a file does not
+    have is NULL there; a line that repeats its file's header is no row. Columns come in the
     order of ``schema``, else of ``order``, else of the first header. A schema that has no
-    name in common with a header names its columns by position.
+    name in common with a header names its columns by position. A field ends with its
+    line, quoted or not. ``stage`` writes the headers, one row per file, to a table: then
+    Spark knows their size and need not move the lines to join them.
     """
-    reader = spark.read.option("header", header).option("sep", delimiter)
     paths = [paths] if isinstance(paths, str) else list(paths)
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
-    groups = header_groups(spark, paths) if header else []
-    plain = reader.option("inferSchema", infer_schema)
-    if not groups:
-        parts = [(reader.schema(schema) if schema is not None else plain).csv(paths)]
-    elif schema is not None:
-        parts = [reader.schema(_by_name(schema, reader_names(spark, files, delimiter))).csv(files) for files in groups]
+    if header:
+        text, data = _by_header(spark, paths, schema, delimiter, list(order), stage)
+    else:
+        reader = spark.read.option("sep", delimiter)
+        text = (reader.schema(as_text(schema)) if schema is not None else reader.option("inferSchema", False)).csv(paths)
+        data = text.columns
+        text = text.select(*[quoted(c) for c in data], *_file_columns())
+    wanted = [c for c in data if not (drop_index_column and c == INDEX_COLUMN)]
+    if schema is not None:
+        types = {f.name: f.dataType for f in schema.fields}
     else:
-        parts = [plain.csv(files) for files in groups]
-    names: dict[str, str] = {}
-    for name in [*(schema.names if schema is not None else order), *[c for part in parts for c in part.columns]]:
-        names.setdefault(name.lower(), name)
-    present = {c.lower() for part in parts for c in part.columns}
-    wanted = schema.names if schema is not None else [n for low, n in names.items() if low in present]
-    if drop_index_column:
-        wanted = [name for name in wanted if name != INDEX_COLUMN]
-    types = {f.name.lower(): f.dataType for f in schema.fields} if schema is not None else _widest(parts)
-    return reduce(DataFrame.unionByName, [_picked(part, wanted, types, with_file) for part in parts])
-
-
-def reader_names(spark: SparkSession, files: list[str], delimiter: str) -> list[str]:
-    """The columns of files that share a header, as Spark names them."""
-    return spark.read.option("header", True).option("sep", delimiter).csv(files[0]).columns
-
-
-def _by_name(schema: StructType, names: list[str]) -> StructType:
-    """The schema in the order of a file's columns."""
-    fields = {f.name.lower(): f for f in schema.fields}
-    if not any(name.lower() in fields for name in names):
-        return schema
-    return StructType([fields.get(name.lower(), StructField(name, StringType())) for name in names])
-
-
-def _widest(parts: list[DataFrame]) -> dict[str, DataType]:
-    """A type per column that holds what was inferred for each group of files."""
-    types: dict[str, DataType] = {}
-    for field in [f for part in parts for f in part.schema.fields]:
-        name, known = field.name.lower(), types.get(field.name.lower(), field.dataType)
-        if known == field.dataType:
-            types[name] = known
-        elif isinstance(known, NumericType) and isinstance(field.dataType, NumericType):
-            whole = {IntegerType(), LongType()}
-            types[name] = LongType() if {known, field.dataType} <= whole else DoubleType()
-        else:
-            types[name] = StringType()
-    return types
-
-
-def _picked(part: DataFrame, wanted: list[str], types: dict[str, DataType], with_file: bool) -> DataFrame:
-    present = {c.lower(): c for c in part.columns}
-    columns = []
-    for name in wanted:
-        own = present.get(name.lower())
-        value = F.lit(None) if own is None else quoted(own)
-        columns.append(value.cast(types[name.lower()]).alias(name))
-    if with_file:
-        columns += [
-            F.col("_metadata.file_path").alias("file_name"),
-            F.col("_metadata.file_modification_time").alias("file_time"),
-        ]
-    return part.select(*columns)
-
-
-def header_groups(spark: SparkSession, paths: list[str]) -> list[list[str]]:
-    """The files by header line, the group of the first file first; files without one are left out.
-
-    Headers are read on the executors, some bytes of each file. The driver holds the names
-    of the files, as it does to plan any scan.
+        types = inferred_types(text, wanted) if infer_schema else {}
+    columns = [typed(quoted(c), types.get(c, StringType())).alias(c) for c in wanted]
+    return text.select(*columns, *(["file_name", "file_time"] if with_file else []))
+
+
+def as_text(schema: StructType) -> StructType:
+    """The same columns, all of them text."""
+    text = StructType()
+    for name in schema.names:
+        text.add(name, StringType())
+    return text
+
+
+def typed(value: Column, kind: DataType | str) -> Column:
+    """Text as another type, NULL where it does not fit."""
+    return value if kind == StringType() else value.try_cast(kind)
+
+
+def inferred_types(text: DataFrame, columns: Iterable[str]) -> dict[str, DataType]:
+    """The narrowest type that holds all values of each column, from one pass over them."""
+    columns = list(columns)
+    if not columns:
+        return {}
+
+    def fits(column: Column, kind: str, pattern: str) -> Column:
+        return F.coalesce(F.bool_and(column.rlike(pattern) & column.try_cast(kind).isNotNull()), F.lit(False))
+
+    tests = [
+        fits(quoted(c), kind, pattern).alias(f"{i}_{kind}")
+        for i, c in enumerate(columns)
+        for kind, pattern in TRIED_TYPES.items()
+    ]
+    found = text.agg(*tests).first()
+    kinds = [next((k for k in TRIED_TYPES if found[f"{i}_{k}"]), "string") for i in range(len(columns))]
+    fields = StructType.fromDDL(", ".join(f"c{i} {kind}" for i, kind in enumerate(kinds))).fields
+    return {name: field.dataType for name, field in zip(columns, fields)}
+
+
+def _file_columns() -> list[Column]:
+    return [
+        F.col("_metadata.file_path").alias("file_name"),
+        F.col("_metadata.file_modification_time").alias("file_time"),
+    ]
+
+
+def _fields(line: Column, n: int, delimiter: str) -> Column:
+    """The first ``n`` fields of a line, as an array of text."""
+    struct = F.from_csv(line, ", ".join(f"f{i} string" for i in range(n)), {"sep": delimiter})
+    return F.array(*[struct[f"f{i}"] for i in range(n)])
+
+
+def first_lines(lines: DataFrame) -> DataFrame:
+    """``file_name, file_time, header``: each file's first line that is not blank.
+
+    Combined on the map side: a task sends one row per file.
     """
+    placed = lines.withColumn("at", F.monotonically_increasing_id())
+    first = F.min_by("value", F.struct("block", "at")).alias("header")
+    return placed.groupBy("file_name").agg(F.min("file_time").alias("file_time"), first)
+
+
+def header_names(first: DataFrame, delimiter: str) -> Column:
+    """The names in each header: an empty one becomes ``_c<place>``, repeated ones get their place."""
+    widest = first.agg(F.max(F.size(F.split("header", _literal(delimiter))))).first()[0] or 0
+    marked = _fields(F.concat(F.col("header"), F.lit(delimiter + END)), widest + 1, delimiter)
+    cells = F.slice(marked, F.lit(1), F.greatest(F.array_position(marked, END) - 1, F.lit(0)).cast("int"))
+    cells = F.transform(cells, lambda c: F.coalesce(c, F.lit("")))
+    low = F.transform(cells, F.lower)
+
+    def named(cell: Column, i: Column) -> Column:
+        again = F.size(F.filter(low, lambda other: other == F.lower(cell))) > 1
+        numbered = F.concat(cell, i.cast("string"))
+        return F.when(cell == "", F.concat(F.lit("_c"), i.cast("string"))).when(again, numbered).otherwise(cell)
 
-    def first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lines = []
-            for uri in batch.column(0).to_pylist():
-                system, path = FileSystem.from_uri(uri)
-                with system.open_input_stream(path) as stream:
-                    text = b""
-                    while b"\n" not in text and (more := stream.read(HEADER_BYTES)):
-                        text = (text + more).lstrip(b"\r\n")
-                lines.append(text.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(lines, pa.string())], names=["file_name", "file_time", "header"]
-            )
-
-    schema = "file_name string, file_time timestamp, header string"
-    headers = list_files(spark, paths).mapInArrow(first_lines, schema).filter("header != ''")
-    first = F.min(F.struct("file_time", "file_name"))
-    groups = headers.groupBy("header").agg(first.alias("first"), F.sort_array(F.collect_list("file_name")).alias("files"))
-    groups = sorted(groups.collect(), key=lambda row: row["first"])
-    return [[_as_path(uri) for uri in row["files"]] for row in groups]
-
-
-def _as_path(uri: str) -> str:
-    """A file's URI as a path to read, in which nothing stands for other characters."""
-    return re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(uri))
+    return F.transform(cells, named)
+
+
+def _literal(delimiter: str) -> str:
+    return "\\Q" + delimiter + "\\E"
+
+
+def _by_header(
+    spark: SparkSession, paths: list[str], schema: StructType | None, delimiter: str, order: list[str], stage: Stage | None
+) -> tuple[DataFrame, list[str]]:
+    """The rows of files with a header as text columns, and the names of these."""
+    lines = spark.read.text(paths).select(
+        "value", *_file_columns(), F.col("_metadata.file_block_start").alias("block")
+    )
+    lines = lines.filter(F.trim("value") != "")
+    first = first_lines(lines)
+    if stage is not None:
+        first = stage(first, "headers")
+    known = first.withColumn("names", header_names(first, delimiter))
+    # one row per column name, and the widest header
+    seen = known.select("file_time", "file_name", F.posexplode("names").alias("at", "name"))
+    each = seen.groupBy(F.lower("name").alias("low")).agg(
+        F.min(F.struct("file_time", "file_name", "at", "name")).alias("first"), F.max("at").alias("at")
+    )
+    found = sorted(each.collect(), key=lambda r: r["first"])
+    width = max((r["at"] + 1 for r in found), default=1)
+    present = {r["low"]: r["first"]["name"] for r in found}
+    if schema is not None:
+        data = schema.names
+    else:
+        ordered = {name.lower(): name for name in order if name.lower() in present}
+        data = list({**present, **ordered}[low] for low in [*ordered, *[p for p in present if p not in ordered]])
+    low = F.transform("names", F.lower)
+    places = F.array(*[F.array_position(low, name.lower()).cast("int") for name in data])
+    if schema is not None:
+        by_position = F.array(*[F.when(F.size("names") >= i, F.lit(i)).otherwise(F.lit(0)) for i in range(1, len(data) + 1)])
+        places = F.when(F.exists(places, lambda p: p > 0), places).otherwise(by_position)
+    placed = known.select(F.col("file_name").alias("_file"), "header", places.alias("_places"))
+    joined = lines.join(placed, F.col("file_name") == F.col("_file")).filter(F.col("value") != F.col("header"))
+    parsed = joined.select(_fields(F.col("value"), width, delimiter).alias("_fields"), "_places", "file_name", "file_time")
+    picked = [
+        F.when(F.col("_places")[i] > 0, F.get("_fields", F.col("_places")[i] - 1)).alias(name) for i, name in enumerate(data)
+    ]
+    return parsed.select(*picked, "file_name", "file_time"), list(data)
 
 
 def list_files(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:

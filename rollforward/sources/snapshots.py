@@ -6,8 +6,6 @@ directory; pointing the catalog table at it publishes it in one step.
 
 from __future__ import annotations
 
-import hashlib
-import re
 import tempfile
 import uuid
 
@@ -40,13 +38,10 @@ def table_or_empty(spark: SparkSession, name: str, schema: StructType) -> DataFr
     return spark.createDataFrame([], schema)
 
 
-def publish(df: DataFrame, table: str, root: str, label: str = "") -> None:
-    """Write ``df`` as the next snapshot under ``root`` and point ``table`` at it.
-
-    ``label`` starts the snapshot's folder name, so it changes in one step with the rows.
-    """
+def publish(df: DataFrame, table: str, root: str) -> None:
+    """Write ``df`` as the next snapshot under ``root`` and point ``table`` at it."""
     spark = df.sparkSession
-    path = f"{root.rstrip('/')}/{label}{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
@@ -55,23 +50,6 @@ def publish(df: DataFrame, table: str, root: str, label: str = "") -> None:
         spark.catalog.createTable(table, path=path, source="parquet")
 
 
-def version_label(feed: str, version: int) -> str:
-    """A label that says up to which version of a change feed a snapshot has come."""
-    return f"v{version}-{hashlib.md5(feed.lower().encode()).hexdigest()}-"
-
-
-def label_of(location: str | None) -> str:
-    found = re.search(r"/(v-?\d+-[0-9a-f]{32}-)[0-9a-f]{32}/?$", location or "")
-    return found[1] if found else ""
-
-
-def labelled_version(location: str | None, feed: str) -> int | None:
-    """The version of ``feed`` in a snapshot's label, None if it has none."""
-    label = label_of(location)
-    version = int(label[1:].rsplit("-", 2)[0]) if label else 0
-    return version if label == version_label(feed, version) else None
-
-
 def current_location(spark: SparkSession, table: str) -> str | None:
     """Where the table's snapshot is, None if there is no table."""
     return table_location(spark, table) if spark.catalog.tableExists(table) else None
@@ -94,10 +72,10 @@ def append(df: DataFrame, table: str, root: str) -> None:
     spark.catalog.refreshTable(table)
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Delete a folder that :func:`shared_dir` named."""
+def discard(spark: SparkSession, path: str) -> bool:
+    """Delete a folder; False where there is none."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def replace_partitions(df: DataFrame, table: str, partition_by: str, root: str) -> None:

@@ -60,3 +60,50 @@ def test_round_trip(spark, tmp_path, header):
     path = str(tmp_path / "out")
     write_csv(df, path, header=header, delimiter=";")
     assert rows(read_csv(spark, path, schema=df.schema, header=header, delimiter=";")) == rows(df)
+
+
+def test_many_headers_are_one_scan(spark, tmp_path):
+    names = ["a", "b", "c", "d"]
+    for i in range(24):
+        order = names[i % 4 :] + names[: i % 4]
+        order = order[: 2 + i % 3]
+        put(tmp_path, f"f{i:02d}.csv", ",".join(order) + "\n" + ",".join(f"{n}{i}" for n in order) + "\n")
+    df = read_csv(spark, str(tmp_path), infer_schema=False)
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Relation") == 2 and "Union" not in text and "Python" not in text  # lines, and their headers
+    expected = []
+    for i in range(24):
+        order = (names[i % 4 :] + names[: i % 4])[: 2 + i % 3]
+        expected.append(tuple(f"{n}{i}" if n in order else None for n in names))
+    assert rows(df, *names) == sorted(expected, key=lambda r: [(v is not None, str(v)) for v in r])
+
+
+def test_headers_may_be_quoted_blank_or_alone(spark, tmp_path):
+    put(tmp_path, "a.csv", '\n  \n"x,y",,Z\n1,2,3\n\n4,"5,5",6\n')
+    put(tmp_path, "b.csv", "z\n")
+    put(tmp_path, "c.csv", "")
+    put(tmp_path, "d.csv", 'z,"x,y"\r\n7,8\r\n')
+    df = read_csv(spark, str(tmp_path), infer_schema=False)
+    assert df.columns == ["x,y", "_c1", "Z"]
+    assert rows(df) == [("1", "2", "3"), ("4", "5,5", "6"), ("8", None, "7")]
+
+
+def test_inferred_types(spark, tmp_path):
+    put(tmp_path, "a.csv", "i,l,f,d,t,b,s,n\n1,1,1,2024-01-01,2024-01-01T10:00:00,true,x,\n")
+    put(tmp_path, "b.csv", "i,l,f,d,t,b,s,n\n-2,30000000000,1.5e3,2024-02-02,2024-01-01 10:00:00.5,False,1,\n")
+    types = dict(read_csv(spark, str(tmp_path)).dtypes)
+    assert types == {
+        "i": "int", "l": "bigint", "f": "double", "d": "date", "t": "timestamp", "b": "boolean", "s": "string", "n": "string",
+    }
+
+
+def test_a_large_file_is_read_in_splits(spark, tmp_path):
+    lines = [f"{i},{'x' * 50}" for i in range(4000)]
+    put(tmp_path, "a.csv", "k,v\n" + "\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        df = read_csv(spark, str(tmp_path))
+        assert df.count() == 4000 and df.agg({"k": "sum"}).first()[0] == sum(range(4000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
