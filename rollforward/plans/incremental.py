@@ -22,7 +22,6 @@ from ..operators.changes import (
 from ..operators.merge import update_all
 from ..operators.quality import Rules, clean, rejected
 from ..operators.rollup import Rollup, newest_part, rollup_by_date
-from ..sources.parted import DEFAULT_PARTS
 from ..sources.snapshots import (
     current_location,
     drop_partitions,
@@ -71,7 +70,7 @@ def run(
     mapping: Mapping[str, tuple[str, str]] = RAW_MAPPING,
     change_types: Iterable[str] | None = ROW_STATES,
     now: datetime | None = None,
-    parts: int = DEFAULT_PARTS,
+    parts: int | None = None,
 ) -> None:
     """Bring ``target_table`` up to the newest version of ``feed_table``.
 

@@ -136,7 +136,7 @@ def load_csv(
     null_safe_hash: bool = False,
     bad_values: str = FAIL,
     rejects_table: str | None = None,
-    parts: int = parted.DEFAULT_PARTS,
+    parts: int | None = None,
 ) -> Loaded:
     """Load the files under ``paths`` that ``log_table`` does not know into ``table``.
 
@@ -266,13 +266,13 @@ def merge_into_table(
     changes_table: str | None = None,
     load_time: datetime | Column | None = None,
     folded: bool = False,
-    parts: int = parted.DEFAULT_PARTS,
+    parts: int | None = None,
 ) -> Merged:
     """Create ``table`` from the rows, or merge them into it; its files go under ``root``.
 
     With ``primary_key`` changed rows are updated and new ones inserted, else rows with
-    a new hash are inserted. The table is kept in ``parts`` by key, see
-    :mod:`~rollforward.sources.parted`: keys and hashes of the parts that the rows fall
+    a new hash are inserted. A new table is cut into ``parts`` by key (as many as a shuffle has
+    partitions, if not given), see :mod:`~rollforward.sources.parted`: keys and hashes of the parts that the rows fall
     into are compared first, then the parts with a change alone are read and written. Without
     a key, hashes alone are compared; new rows become a part of their own, or, in a table
     with a key, come to the parts they belong to.
@@ -289,6 +289,7 @@ def merge_into_table(
     hashed = df if "row_hash" in df.columns else with_row_hash(df)
     stamped = with_load_stamps(hashed, _time(load_time))
     force = REWRITTEN if folded and keys else None
+    parts = parts or parted.default_parts(spark)
     with Staging(spark) as staging:
         state = _opened(spark, table, root, keys, parts)
         target, wanted = _target(spark, table, stamped, [REWRITTEN] if folded else [])
@@ -336,7 +337,7 @@ def replace_in_table(
     root: str,
     *,
     keys: str | Iterable[str],
-    parts: int = parted.DEFAULT_PARTS,
+    parts: int | None = None,
 ) -> Merged:
     """Create ``table`` from the rows, or replace the rows with their keys as a whole.
 
@@ -344,6 +345,7 @@ def replace_in_table(
     another load has changed in the meantime is an error, and left as it is.
     """
     spark, keys = df.sparkSession, as_list(keys)
+    parts = parts or parted.default_parts(spark)
     with Staging(spark) as staging:
         state = _opened(spark, table, root, keys, parts)
         dealt = parted.part_of(keys, state.parts if state else parts)

@@ -29,7 +29,6 @@ from .snapshots import discard
 
 PART = "_part"
 VERSION = "version"
-DEFAULT_PARTS = 64
 _INT = IntegerType()
 
 # The table properties in which the state of a table is kept.
@@ -88,13 +87,18 @@ def part_of(keys: Iterable[str], parts: int, spread: Iterable[str] = ()) -> Colu
     return F.when(any_null(keys), dealt(spread or keys)).otherwise(dealt(keys))
 
 
+def default_parts(spark: SparkSession) -> int:
+    """As many parts as a shuffle of this session has partitions."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def create_table(
-    spark: SparkSession, table: str, schema: StructType, root: str, *, keys: Iterable[str] = (), parts: int = DEFAULT_PARTS
+    spark: SparkSession, table: str, schema: StructType, root: str, *, keys: Iterable[str] = (), parts: int | None = None
 ) -> State:
     """An empty table in parts; without ``keys`` each load is a part."""
     keys = as_list(keys)
     state = {
-        PARTS_PROPERTY: str(parts if keys else 0),
+        PARTS_PROPERTY: str((parts or default_parts(spark)) if keys else 0),
         KEYS_PROPERTY: "\n".join(keys),
         ROOT_PROPERTY: f"{root.rstrip('/')}/{table}",
     }

@@ -56,7 +56,7 @@ class KeyedReplay:
     version: str = "version"
     mapping: Mapping[str, tuple[str, str]] | None = None
     change_types: Iterable[str] | None = None
-    parts: int = 16
+    parts: int = 8
 
     @property
     def tables(self) -> tuple[str, str, str, str]:
