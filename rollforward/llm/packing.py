@@ -81,7 +81,7 @@ class WordIds(dict):
         # a task has one core: threads for a handful of words cost more than the words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(self.file)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocabulary = self.tokenizer.get_vocab()
         self.is_end = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
@@ -112,8 +112,6 @@ class WordIds(dict):
         new = words.difference(self)
         if not new:
             return
-        if self.tokenizer is None:
-            self._load()
         if len(self) + len(new) > self.LIMIT:
             self.clear()
             new = words
@@ -134,20 +132,28 @@ class WordIds(dict):
 
     def of(self, texts: Iterable[bytes]) -> Iterator[bytes]:
         """The ids of each text; new words of a group of texts are learned together."""
-        group: list[list[bytes]] = []
+        if self.tokenizer is None:
+            self._load()
+        group: list[list[bytes] | str] = []
         held = 0
         for text in texts:
-            group.append(text.split())
+            lowered = text.lower()
+            special = any(token in lowered for token in self.special)
+            group.append(text.decode() if special else text.split())
             held += len(text)
             if held >= GROUP_BYTES:
                 yield from self._of_group(group)
                 group, held = [], 0
         yield from self._of_group(group)
 
-    def _of_group(self, group: list[list[bytes]]) -> Iterator[bytes]:
-        self.learn(set().union(*group))
+    def _of_group(self, group: list[list[bytes] | str]) -> Iterator[bytes]:
+        """Texts that hold a special token, in any case, are left to the tokenizer as a whole."""
+        self.learn(set().union(*[words for words in group if isinstance(words, list)]))
         for words in group:
-            yield b"".join(map(self.__getitem__, words))
+            if isinstance(words, str):
+                yield np.array(self.tokenizer.encode(words, add_special_tokens=False).ids, "<u4").tobytes()
+            else:
+                yield b"".join(map(self.__getitem__, words))
 
 
 _IDS: dict[str, WordIds] = {}  # per Python worker

@@ -19,6 +19,7 @@ TEXTS = [
     (5, "same"),
     (5, "same"),
     (6, "<|endoftext|> tail"),
+    (6, "New<|EndOfText|>york, a<|startoftext|><|endoftext|>b <| endoftext |>"),
     (7, "word " * 9000),
     (8, "a b ́c é!"),
 ]
@@ -27,7 +28,6 @@ TEXTS = [
 def test_pieces_hold_all_ids(documents):
     found = packing.pack(documents(TEXTS), FILE, capacity=4096).collect()
     tokenizer = Tokenizer.from_file(FILE)
-    tokenizer.encode_special_tokens = True
     pieces = defaultdict(list)
     for r in found:
         pieces[(r["doc_id"], r["start"], r["length"], r["ids_crc32"])].append(r)
@@ -53,7 +53,6 @@ def test_pieces_hold_all_ids(documents):
 
 def test_words_learned_together_have_the_ids_of_the_text():
     tokenizer = Tokenizer.from_file(FILE)
-    tokenizer.encode_special_tokens = True
     # pairs that compose in lower case only, marks, letters that lower-case to two signs
     signs = ["J\u030c", "T\u0308", "\u0130", "\u00df", "a", "Z", "'s", "1", ".", "!?", "\u65e5", "\u3000", "\x1c", "\u0340"]
     random = np.random.default_rng(3)
