@@ -29,10 +29,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     What follows no longer depends on the executors that computed it, and values such
     as row numbers keep what was written.
     """
+    return staged(df, name)[0]
+
+
+def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """:func:`stage`, and the folder, for :func:`~rollforward.sources.snapshots.discard` after its last use."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

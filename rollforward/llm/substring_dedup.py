@@ -31,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, as_bytes, mixed, row_key, signed, sliding_minimum, stage, window_hashes
+from ..sources.snapshots import discard
+from .common import WordHashes, as_bytes, mixed, row_key, signed, sliding_minimum, stage, staged, window_hashes
 
 WINDOW = 35
 K = 8  # words of a k-mer
@@ -94,7 +95,7 @@ def _inverse_powers(n: int) -> np.ndarray:
 
 
 def paths(keyed: DataFrame, window: int, k: int) -> DataFrame:
-    """One stored row per path: row key, first window, windows, minimiser, hash of its words."""
+    """One row per path: row key, first window, windows, minimiser, hash of its words."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,7 +122,7 @@ def paths(keyed: DataFrame, window: int, k: int) -> DataFrame:
                 )
 
     schema = "key binary, first int, count int, minimiser long, content long"
-    return stage(keyed.mapInArrow(split, schema), "paths")
+    return keyed.mapInArrow(split, schema)
 
 
 def repeated_paths(found: DataFrame) -> DataFrame:
@@ -169,10 +170,13 @@ def edges(keyed: DataFrame, branching: DataFrame, window: int) -> DataFrame:
 def repeated_windows(docs: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame:
     """Stretches of windows that occur elsewhere too: row key, first window, count."""
     keyed = docs.select(row_key().alias("key"), F.col("text"))
-    repeated = repeated_paths(paths(keyed, window, k))
+    found, folder = staged(paths(keyed, window, k), "paths")
+    repeated = repeated_paths(found)
+    discard(docs.sparkSession, folder)  # a few of the paths are repeated, and stored again
     settled = repeated.filter(~F.col("branches")).select("key", "first", "count")
     opened = edges(keyed, repeated.filter("branches"), window)
     counted = opened.groupBy("minimiser", "edge").agg(F.count("*").alias("n")).filter("n > 1")
+    counted = stage(counted, "repeated-edges")  # read again, its side of the join has an exchange that can be split
     again = opened.join(counted.drop("n").hint("merge"), ["minimiser", "edge"])
     return settled.unionByName(again.select("key", "first", F.lit(1).alias("count")))
 
