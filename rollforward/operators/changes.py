@@ -11,6 +11,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 from ..functions.columns import any_null, as_list, quoted
 from .merge import update_all
 
+# Columns and types of the watermark table.
 WATERMARK_SCHEMA = StructType(
     [
         StructField("table_name", StringType(), False),

@@ -12,6 +12,7 @@ from ..functions.columns import as_list, quoted
 from ..functions.hashing import digest_of_sums, digest_terms
 from .first import keep_first
 
+# Columns and types of the load log.
 LOAD_LOG_SCHEMA = StructType(
     [
         StructField("file_name", StringType(), False),
