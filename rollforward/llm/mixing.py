@@ -84,6 +84,7 @@ def thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
     state = targets.withColumn("times", fits.cast("long")).withColumn(
         "rest", F.col("target") - F.col("times") * F.col("source_size")
     )
+    state = state.withColumn("whole", F.col("rest") <= 0)
     state = state.withColumn("bucket", F.lit(0).cast("long"))
     per_source = Window.partitionBy("source").orderBy("bucket")
     for step in range(1, STEPS + 1):
@@ -108,6 +109,7 @@ def thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
             state = state.drop("tokens")
     closer = F.col("tokens") - F.col("rest") < F.col("rest")
     end = F.shiftleft(F.col("bucket") + closer.cast("long"), HASH_BITS - STEPS * STEP_BITS)
+    end = F.when(F.col("whole"), 0).otherwise(end)  # also of documents without a word none is taken once more
     return state.select(F.col("source").alias("_source"), F.col("times").alias("_times"), end.alias("below"))
 
 
