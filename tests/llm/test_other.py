@@ -1,7 +1,10 @@
 """Language, mixing, extraction, archives, language model and fingerprints."""
 
 import hashlib
+import html
 import math
+import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -90,7 +93,9 @@ def test_mix_defined_results(documents):
     docs = documents(ROWS)
     assert mixing.mix(docs).count() == len(ROWS)
     assert mixing.mix(documents([])).count() == 0
+    assert max(r["times"] for r in mixing.mix(docs, most=2).collect()) <= 2
     mixed = mixing.mixed_documents(docs)
+    assert mixed.groupBy(*docs.columns).count().agg(F.max("count")).first()[0] <= 6  # two equal rows
     times = sum(r["times"] for r in mixing.mix(docs).collect())
     assert mixed.columns == docs.columns and mixed.count() == times
 
@@ -114,6 +119,92 @@ def test_main_text(pages):
     assert html_text.extract(pages([])).count() == 0
 
 
+MENU = "<div class=q1><ul><li><a href=/a>Home page</a></li><li><a href=/b>All the news</a></li></ul></div>"
+STORY = "<h1>A title</h1>" + "".join(
+    f"<p>Part {i} tells <a href=/x>something</a> about rivers, <b>bridges</b> and the towns beside them.</p>" for i in range(6)
+)
+TOLD = "A title\n\n" + "\n\n".join(f"Part {i} tells something about rivers, bridges and the towns beside them." for i in range(6))
+
+
+def page_of(content, label="article"):
+    """A page whose boilerplate has one told class, `zz`, and otherwise no telling name."""
+    return (
+        f"<html><head><title>t</title></head><body>{MENU}<div class=zz>Buy seven of these now</div>"
+        f"<{label}>{content}</{label}><div class=zz><p>All rights stay with us</p></div></body></html>"
+    )
+
+
+def word_scores(found, expected):
+    shared = sum((Counter(found.split()) & Counter(expected.split())).values())
+    return shared / max(len(found.split()), 1), shared / len(expected.split())
+
+
+def test_main_text_learns_what_is_aside():
+    labelled = [page_of(f"<h1>Some title</h1><p>{'word ' * n}</p><p>{'more ' * n}</p>") for n in range(5, 45)]
+    weights = html_text.fit(labelled)
+    assert weights.names["a"] < 0 and weights.names[".zz"] < 0 and "div" not in weights.names
+    for label in ("article", "section"):  # also where no element tells the content
+        assert html_text.main_text(page_of(STORY, label), weights) == TOLD
+    inner = STORY.replace("<p>Part 3", "<div class='b zz'>Buy two</div><p>Part 3")
+    assert html_text.main_text(page_of(inner), weights) == TOLD
+    for flat in (html_text.Weights(names={}), html_text.Weights(names={}, tags=weights.tags)):
+        assert html_text.main_text(page_of(inner), flat) != TOLD  # names and tags are learned, both needed
+
+
+def test_main_text_on_held_out_pages(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").collect()
+    pages = [r[0] for r in rows if r[0] and "<article>" in r[0]]
+    weights, flat = html_text.fit(pages[::2]), html_text.Weights(names={})
+    learned, plain = [], []
+    for page in pages[1::2]:
+        inside = re.search("<article>(.*)</article>", page, re.S)[1]
+        expected = html.unescape(re.sub("<[^>]*>", " ", inside))
+        learned.append(word_scores(html_text.main_text(page, weights), expected))
+        plain.append(word_scores(html_text.main_text(page, flat), expected))
+    assert min(min(x) for x in learned) >= 0.95
+    assert min(p for p, _ in plain) < 0.95
+
+
+@pytest.mark.parametrize(
+    "kept",
+    [
+        '<h2 id="related-work">kept words</h2>',
+        '<section id="search-methods"><p>kept words</p></section>',
+        '<p data-id="share">kept words</p>',
+        '<p title="hidden gem">kept words</p>',
+        "<p data-note=hidden>kept words</p>",
+        '<div class="story social-science"><p>kept words</p></div>',
+        "<header><p>kept words</p></header>",
+        "<ul><li>kept</li><li>words</li></ul>",
+        "<p><a href=/x>kept words</a></p>",
+    ],
+)
+def test_main_text_keeps_what_looks_like_an_aside(kept):
+    weights = html_text.fit([page_of(STORY)] * 6)
+    found = html_text.main_text(page_of(STORY + kept + STORY), weights)
+    assert found.startswith(TOLD) and found.endswith(TOLD)
+    assert found[len(TOLD) : -len(TOLD)].split() == ["kept", "words"]
+
+
+@pytest.mark.parametrize("teaser", ["<div class=teaser><p>" + "Read more of it " * 20 + "</p></div>", MENU])
+def test_main_text_stays_inside_its_edges(teaser):
+    weights = html_text.fit([page_of(STORY)] * 6)
+    for page in (teaser + f"<article>{STORY}</article>", f"<article>{STORY}</article>" + teaser):
+        assert html_text.main_text(f"<body>{page}</body>", weights) == TOLD
+
+
+@pytest.mark.parametrize("part", ["<a ", '<a b="', "<!x", "<div>", "<script", "<!--", "</p>", "<a href=x>"])
+def test_main_text_of_hostile_pages_takes_linear_time(part):
+    def took(n):
+        page, start = part * (n // len(part)), time.process_time()
+        html_text.main_text(page, html_text.Weights())
+        return time.process_time() - start
+
+    took(10_000)
+    assert took(800_000) < 60 * max(took(80_000), 0.02)
+    assert html_text.main_text("<a b='<p>text", html_text.Weights()).startswith("<a b='")
+
+
 def test_archives_round_trip(pages):
     rows = [(1, "http://a/ b", "é" * 50), (2, None, "é" * 50), (3, "u", None), (4, "u", ""), (None, "u", "é" * 50), (9, "u", "x\r\n\r\ny")]
     index = warc.write_archives(pages(rows))
