@@ -16,6 +16,7 @@ from ..operators import changes, merge, quality
 from ..operators.files import empty_load_log, file_fingerprints, log_rows, new_files
 from ..operators.first import all_but_first, dedup_by_hash, keep_first, total_order
 from ..operators.fold import fold_insert_only, fold_keyed
+from ..operators.part_changes import change_feed_by_parts as changes_of_parts
 from ..operators.rollup import latest_rollup, latest_with_ties
 from ..sources.delimited import read_csv, write_csv
 from ..sources import parted
@@ -34,6 +35,7 @@ from .incremental import read_watermark, replay, reset, run
 from .ingest import SET_ASIDE, accept_files, load_csv, rows_to_load
 
 Query = Callable[[SparkSession, str], DataFrame]
+SNAPSHOT_PARTS = 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -215,6 +217,18 @@ def q_change_feed(spark, sf_dir):
     return changes.change_feed(before, after, "k").select("k", "v", "_change_type")
 
 
+def q_change_feed_by_parts(spark, sf_dir):
+    """Both snapshots are written in parts by key; only parts whose digests differ are compared."""
+    sides = []
+    for side in order_snapshots(spark, sf_dir):
+        path = shared_dir(spark, "snapshot")
+        cut = side.withColumn(parted.PART, parted.part_of(["k"], SNAPSHOT_PARTS, ["row_hash"]))
+        cut.repartition(parted.PART).write.partitionBy(parted.PART).parquet(path)
+        sides.append(spark.read.schema(cut.schema).parquet(path))
+    feed = changes_of_parts(*sides, "k", part=parted.PART)
+    return feed.select("k", "v", "_change_type")
+
+
 # ---- hashing and files --------------------------------------------------------------
 
 

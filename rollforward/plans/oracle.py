@@ -344,3 +344,5 @@ SELECT cur.table_name, coalesce(seen.v, CAST(-1 AS BIGINT)) AS last_processed_ve
 FROM cur LEFT JOIN seen ON cur.table_name = seen.table_name
 """,
 }
+
+ORACLE["change_feed_by_parts"] = ORACLE["change_feed"]

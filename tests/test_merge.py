@@ -1,4 +1,7 @@
+import contextlib
+import io
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -6,6 +9,8 @@ from rollforward.functions.hashing import with_row_hash
 from rollforward.operators import merge
 from rollforward.operators.changes import change_feed
 from rollforward.operators.fold import fold_insert_only, fold_keyed
+from rollforward.operators.part_changes import change_feed_by_parts, changed_parts, part_digests
+from rollforward.sources.parted import part_of
 
 from .conftest import rows
 
@@ -176,3 +181,48 @@ def test_insert_only_fold_equals_merging_one_by_one(spark):
     staged = with_row_hash(spark.createDataFrame(loads, COLUMNS + ", seq int"), DATA)
     folded = fold_insert_only(staged, "seq")
     assert rows(folded, *DATA, "load_seq") == in_order(expected)
+
+
+def in_parts(df, keys=("case", "k"), parts=8):
+    return df.withColumn("part", part_of(list(keys), parts, ["row_hash"]))
+
+
+def test_change_feed_by_parts_equals_the_whole_feed(spark):
+    cases = random_cases(7, 60, 2)
+    old = frame(spark, flat(c[0] for c in cases.values()))
+    new = frame(spark, flat(c[1] for c in cases.values()))
+    names = [*old.columns, "_change_type"]
+    for a, b in ((old, new), (old, old.filter("false")), (new.filter("false"), new), (old, old)):
+        whole = rows(change_feed(a, b, ["case", "k"]), *names)
+        assert rows(change_feed_by_parts(in_parts(a), in_parts(b), ["case", "k"], part="part"), *names) == whole
+    stored = part_digests(in_parts(old), ["case", "k"], part="part")
+    found = change_feed_by_parts(in_parts(old), in_parts(new), ["case", "k"], part="part", old_digests=stored)
+    assert rows(found, *names) == rows(change_feed(old, new, ["case", "k"]), *names)
+
+
+def test_change_feed_by_parts_sees_hashes_that_changed_places(spark):
+    schema = "k int, row_hash string, part int"
+    old = spark.createDataFrame([(1, "a", 0), (2, "b", 0), (3, "c", 1)], schema)
+    new = spark.createDataFrame([(1, "b", 0), (2, "a", 0), (3, "c", 1)], schema)
+    assert change_feed_by_parts(old, new, "k", part="part").count() == 4
+    differ = changed_parts(part_digests(old, "k", part="part"), part_digests(new, "k", part="part"))
+    assert rows(differ) == [(0,)]
+
+
+def test_change_feed_by_parts_reads_only_parts_that_differ(spark, tmp_path):
+    sides = []
+    for name, value in (("old", 0), ("new", 1)):
+        side = spark.range(4000).select(
+            F.col("id").alias("k"), F.when(F.col("id") == 17, value).otherwise(5).alias("v")
+        )
+        side = in_parts(with_row_hash(side, ["k", "v"]), ["k"], 16)
+        side.write.partitionBy("part").parquet(str(tmp_path / name))
+        sides.append(spark.read.schema(side.schema).parquet(str(tmp_path / name)))
+    feed = change_feed_by_parts(*sides, "k", part="part")
+    assert rows(feed, "k", "_change_type") == [(17, "update_postimage"), (17, "update_preimage")]
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        feed.explain("formatted")
+    scans = re.findall(r"PartitionFilters: (.*)", text.getvalue())
+    here = sides[0].filter("k = 17").first()["part"]
+    assert len(scans) >= 2 and all(re.search(rf"part#\d+ (=|IN) \(?{here}\b", s) for s in scans)
