@@ -11,6 +11,7 @@ from rollforward.functions.hashing import with_row_hash
 from rollforward.operators import merge, quality
 from rollforward.operators.files import file_fingerprints
 from rollforward.operators.first import flag_first, keep_first, one_per_key, repeated
+from rollforward.operators.fold import fold_keyed
 from rollforward.operators.rollup import latest_rollup, latest_with_ties
 from rollforward.plans.circuits import CIRCUIT_ROLLUP
 
@@ -168,3 +169,16 @@ def test_rollup_reads_only_its_columns_and_filters_dates_at_the_scan(spark, tmp_
     text = plan(latest_rollup(quality.not_null(df, ["circuit_id", "section_id"]), CIRCUIT_ROLLUP))
     assert "f_notes" not in text and "IsNotNull(f_hca_date)" in text
     assert "IsNotNull(section_id)" in text
+
+
+def test_fold_finds_changes_on_narrow_rows(spark):
+    loads = with_row_hash(
+        spark.range(1000).selectExpr("id % 300 AS k", "cast(id / 300 AS int) AS seq", "repeat('x', 200) AS wide"), ["k", "wide"]
+    )
+    with settings(spark, spark__sql__adaptive__enabled="false"):
+        folded = fold_keyed(loads, "k", "seq")
+        text = plan(folded, "formatted")
+    for node in ("Window", "HashAggregate", "SortAggregate"):
+        for found in re.findall(rf"^\(\d+\) {node}\b.*\n((?:.+\n)+)", text, re.M):
+            assert "wide" not in found
+    assert re.search(r"^\(\d+\) Window", text, re.M) and folded.count() == 300
