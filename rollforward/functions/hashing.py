@@ -16,11 +16,14 @@ EMPTY_DIGEST_INPUT = ""
 # The 64 hex digits of a row hash are cut into slices of 15 (60 bits), the last of which
 # has 4 (16 bits), and each slice into parts of 20 bits. Sums of such parts fit a bigint
 # up to 2**43 rows.
+HASH_DIGITS = 64
 SLICE_DIGITS = 15
 SLICE_STARTS = (1, 16, 31, 46, 61)
 PART_BITS = 20
 PART_SHIFTS = (0, 20, 40)
 LAST_SHIFTS = (0,)
+# The first byte of a packed text.
+HASH_MARK, TEXT_MARK = bytearray(b"\x01"), bytearray(b"\x00")
 
 
 def row_hash(names: Iterable[str], values: Iterable[Column] | None = None) -> Column:
@@ -56,6 +59,23 @@ def with_row_hash(
     return df.withColumn(alias, (row_hash_null_safe if null_safe else row_hash)(names))
 
 
+def packed(text: Column) -> Column:
+    """Text as bytes that an exchange moves: row hashes take half their length, others one byte more.
+
+    Different texts have different bytes, see :func:`unpacked`.
+    """
+    digest = F.unhex(text)
+    is_hash = (F.length(text) == HASH_DIGITS) & (F.lower(F.hex(digest)) == text)
+    return F.when(is_hash, F.concat(F.lit(HASH_MARK), digest)).otherwise(F.concat(F.lit(TEXT_MARK), text.cast("binary")))
+
+
+def unpacked(packed_text: Column) -> Column:
+    """The text that :func:`packed` was given."""
+    rest = F.substring(packed_text, 2, 2**31 - 1)
+    mark = F.substring(packed_text, 1, 1)
+    return F.when(mark == F.lit(HASH_MARK), F.lower(F.hex(rest))).otherwise(rest.cast("string"))
+
+
 def hash_slices(row_hash_column: str) -> list[Column]:
     """Five integers that together are the whole row hash."""
     return [

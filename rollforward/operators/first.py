@@ -85,6 +85,23 @@ def repeated(df: DataFrame, keys: str | Iterable[str]) -> DataFrame:
     return df.withColumn("__left", hashed).join(again, same, "left_semi").drop("__left")
 
 
+HOT_ROWS = 1_000_000  # rows of one bucket of keys that a single task may get
+BUCKETS = 1 << 16
+
+
+def by_heat(df: DataFrame, keys: str | Iterable[str]) -> tuple[DataFrame, DataFrame]:
+    """``(rest, hot)``: rows whose key falls into a bucket of at most ``HOT_ROWS`` rows, and the others.
+
+    What counts the buckets sends at most ``BUCKETS`` numbers per task, and so many are broadcast at
+    most. Rows of one key are all on the same side, and those of ``rest`` may meet in one task.
+    """
+    dealt = df.withColumn("__bucket", F.pmod(F.xxhash64(*[quoted(k) for k in as_list(keys)]), F.lit(BUCKETS)).cast("int"))
+    counted = dealt.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n"))
+    hot = F.broadcast(counted.filter(F.col("__n") > HOT_ROWS).select("__bucket"))
+    sides = [dealt.join(hot, "__bucket", how).drop("__bucket") for how in ("left_anti", "left_semi")]
+    return sides[0], sides[1]
+
+
 def all_but_first(
     df: DataFrame, keys: str | Iterable[str], order: Sequence[str | Column]
 ) -> DataFrame:

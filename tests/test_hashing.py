@@ -1,8 +1,9 @@
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
-from rollforward.functions.hashing import with_row_hash
+from rollforward.functions.hashing import packed, unpacked, with_row_hash
 from rollforward.operators.first import dedup_by_hash
 
 EMPTY = hashlib.sha256(b"").hexdigest()
@@ -51,3 +52,13 @@ def test_dedup_is_the_same_under_any_partitioning(spark, order):
     assert len(result) == 2 and set(result) <= set(data)
     if order:
         assert ("h1", 1, "a") in result
+
+
+def test_packed_text_comes_back(spark):
+    digest = "0a" * 32
+    texts = [None, "", "a", digest, digest.upper(), digest[:-1], digest[:-1] + "g", "é" * 64, "\x01" + digest[1:]]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("p", packed(F.col("t")))
+    found = df.select("t", unpacked(F.col("p")), F.length("p")).collect()
+    assert [r[1] for r in found] == texts
+    assert found[3][2] == 33
+    assert df.select("p").distinct().count() == len(texts)
