@@ -20,7 +20,7 @@ from ..operators.part_changes import change_feed_by_parts as changes_of_parts
 from ..operators.rollup import latest_rollup, latest_with_ties
 from ..sources.delimited import read_csv, write_csv
 from ..sources import parted
-from ..sources.snapshots import replace_partitions, shared_dir
+from ..sources.snapshots import COMPRESSION, replace_partitions, shared_dir
 from ..streaming.keyed import KeyedReplay
 from ..streaming.replay import StreamReplay
 from .circuits import (
@@ -365,7 +365,7 @@ def scratch_tables(spark: SparkSession, *names: str):
 def kept(df: DataFrame, name: str) -> DataFrame:
     """The rows, written to a folder of their own that outlives the tables they come from."""
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", COMPRESSION).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -661,7 +661,7 @@ def _quarter_of_files(spark: SparkSession, folder: str) -> int:
 def q_stream_replay(spark, sf_dir):
     feed = redelivered(spark, sf_dir)
     feed_dir = shared_dir(spark, "feed")
-    feed.write.partitionBy("version").parquet(feed_dir)
+    feed.write.option("compression", COMPRESSION).partitionBy("version").parquet(feed_dir)
     stream = StreamReplay(shared_dir(spark, "stream"), CIRCUIT_ROLLUP, CIRCUIT_RULES)
     schema = StructType(feed.schema.fields)
     query = stream.start(spark, feed_dir, schema, files_per_batch=_quarter_of_files(spark, feed_dir))
@@ -676,7 +676,7 @@ def q_stream_run(spark, sf_dir):
     version = F.year(F.col("_c14").cast("timestamp_ntz")) - 1995
     feed = with_row_hash(raw).withColumns({"_change_type": kind, "version": version})
     feed_dir, out = shared_dir(spark, "feed"), shared_dir(spark, "stream")
-    feed.write.partitionBy("version").parquet(feed_dir)
+    feed.write.option("compression", COMPRESSION).partitionBy("version").parquet(feed_dir)
     stream = KeyedReplay(
         f"rollforward_stream_{uuid.uuid4().hex}", out, CIRCUIT_ROLLUP, STREAM_RULES,
         mapping=RAW_MAPPING, change_types=changes.ROW_STATES,

@@ -29,7 +29,7 @@ from ..operators.quality import pk_violations
 from ..sources.delimited import as_text, inferred_types, list_files, read_csv, typed
 from ..sources import parted
 from ..sources.parted import publish, replace_partitions
-from ..sources.snapshots import append, discard, shared_dir, table_or_empty
+from ..sources.snapshots import COMPRESSION, append, discard, shared_dir, table_or_empty
 from ..sources.snapshots import replace_partitions as replace_rejects
 
 FILE_COLUMNS = ("file_name", "file_time")
@@ -114,7 +114,7 @@ class Staging:
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         self.paths.append(shared_dir(self.spark, name))
-        df.write.parquet(self.paths[-1])
+        df.write.option("compression", COMPRESSION).parquet(self.paths[-1])
         return self.spark.read.schema(df.schema).parquet(self.paths[-1])
 
 

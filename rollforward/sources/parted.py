@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.columns import any_null, as_list, quoted
-from .snapshots import discard
+from .snapshots import COMPRESSION, discard
 
 PART = "_part"
 VERSION = "version"
@@ -141,7 +141,7 @@ def replace_partitions(df: DataFrame, attempt: str, parts: Iterable[int] = ()) -
     Rows of a part meet in one task, unless they are many: then adaptive execution splits them.
     Of ``parts``, those without a row will be empty.
     """
-    df.hint("rebalance", PART).write.partitionBy(PART).parquet(f"{attempt}/rows")
+    df.hint("rebalance", PART).write.option("compression", COMPRESSION).partitionBy(PART).parquet(f"{attempt}/rows")
     spark = df.sparkSession
     for part in parts:
         folder = spark._jvm.org.apache.hadoop.fs.Path(f"{attempt}/rows/{PART}={part}")
@@ -149,7 +149,7 @@ def replace_partitions(df: DataFrame, attempt: str, parts: Iterable[int] = ()) -
 
 
 def write_changes(df: DataFrame, attempt: str) -> None:
-    df.write.parquet(f"{attempt}/changes")
+    df.write.option("compression", COMPRESSION).parquet(f"{attempt}/changes")
 
 
 def publish(
