@@ -6,8 +6,10 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.columns import as_list, quoted
+from ..functions.hashing import packed, unpacked
 
 
 # Spark types whose values an aggregation buffer can hold in place.
@@ -138,9 +140,12 @@ def counted_per_key(df: DataFrame, keys: str | Iterable[str], count_as: str) ->
 
 
 def _min_by_tie(df: DataFrame, keys: list[str], rest: list[str], *more: Column) -> DataFrame:
-    grouped = df.withColumn("__tie", row_tie(df)).groupBy(*[quoted(k) for k in keys])
+    texts = [k for k in keys if df.select(quoted(k)).schema[0].dataType == StringType()]
+    tied = df.withColumn("__tie", row_tie(df))
+    grouped = tied.groupBy(*[(packed(quoted(k)) if k in texts else quoted(k)).alias(k) for k in keys])
     firsts = [F.min_by(quoted(c), F.col("__tie")).alias(c) for c in rest]
-    return grouped.agg(*(firsts + list(more) or [F.count(F.lit(1))]))
+    found = grouped.agg(*(firsts + list(more) or [F.count(F.lit(1))]))
+    return found.select(*[unpacked(quoted(c)).alias(c) if c in texts else quoted(c) for c in found.columns])
 
 
 def dedup_by_hash(

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import any_null, as_list, quoted
+from ..functions.hashing import packed, unpacked
 from .first import keep_first, total_order
 
 
@@ -35,12 +36,16 @@ def fold_keyed(
     """
     keys = as_list(keys)
     null_key = any_null(keys)
-    keyed = loads.filter(~null_key)
+    keyed, whole = loads.filter(~null_key), {}
+    if (hash_column, "string") in loads.dtypes:  # moved in its short form
+        keyed = keyed.withColumn(hash_column, packed(quoted(hash_column)))
+        whole = {hash_column: unpacked(quoted(hash_column))}
     winners = _last_changes(keyed, keys, seq, hash_column, force)
     same = quoted(seq) == F.col("updated_seq")
     for key in keys:
         same = same & (quoted(key) == quoted(f"__k_{key}"))
     folded = keyed.join(winners, same).select(*[quoted(c) for c in loads.columns], "load_seq", "updated_seq", quoted(force))
+    folded = folded.withColumns(whole)
     unkeyed = loads.filter(null_key).withColumns(
         {"load_seq": quoted(seq), "updated_seq": quoted(seq), force: F.lit(False)}
     )

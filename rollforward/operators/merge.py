@@ -13,8 +13,10 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.columns import any_null, as_list, quoted
+from ..functions.hashing import packed, unpacked
 
 
 def _unmatched(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
@@ -59,6 +61,22 @@ def _matched(
 INSERT, UPDATE = "insert", "update"
 
 
+def _short(df: DataFrame, hash_column: str) -> Column:
+    """A hash as it is compared: text in half its length."""
+    text = df.select(quoted(hash_column)).schema[0].dataType == StringType()
+    return packed(quoted(hash_column)) if text else quoted(hash_column)
+
+
+def _with_short_hash(
+    target: DataFrame, source: DataFrame, hash_column: str
+) -> tuple[DataFrame, DataFrame, dict[str, Column]]:
+    """Both sides with the hash as it is moved, and the column that makes it whole again."""
+    if any((hash_column, "string") not in df.dtypes for df in (target, source)):
+        return target, source, {}
+    short = {hash_column: packed(quoted(hash_column))}
+    return target.withColumns(short), source.withColumns(short), {hash_column: unpacked(quoted(hash_column))}
+
+
 def kinds_of_change(
     target: DataFrame,
     source: DataFrame,
@@ -76,9 +94,10 @@ def kinds_of_change(
     null_key = any_null(keys)
     columns, carried = [quoted(k) for k in keys], [quoted(c) for c in carry]
     asked = quoted(force) if force is not None else F.lit(False)
-    given = source.select(*columns, *carried, quoted(hash_column).alias("__new"), asked.alias("__force"))
+    new, known = (_short(df, hash_column) for df in (source, target))
+    given = source.select(*columns, *carried, new.alias("__new"), asked.alias("__force"))
     keyed = given.filter(~null_key)
-    old = target.filter(~null_key).select(*columns, quoted(hash_column).alias("__old"))
+    old = target.filter(~null_key).select(*columns, known.alias("__old"))
     old = old.join(keyed.select(*columns), keys, "left_semi")  # no larger than the source
     kind = F.when(F.col("__old").isNull(), F.lit(INSERT)).when(
         (F.col("__old") != F.col("__new")) | F.col("__force"), F.lit(UPDATE)
@@ -103,6 +122,7 @@ def upsert_changed(
     boolean source column that asks for the update even when the hashes agree.
     """
     keys = as_list(keys)
+    target, source, whole = _with_short_hash(target, source, hash_column)
     joined, changed = _matched(target, source, keys, hash_column, force, "left")
     taken = {c for c in source.columns if c != force} - set(keep) - set(keys)
     merged = joined.select(
@@ -114,9 +134,8 @@ def upsert_changed(
         ]
     )
     inserts = _unmatched(source, target, keys)
-    return merged.unionByName(target.filter(any_null(keys))).unionByName(
-        inserts.drop(force) if force else inserts
-    )
+    merged = merged.unionByName(target.filter(any_null(keys)))
+    return merged.unionByName(inserts.drop(force) if force else inserts).withColumns(whole)
 
 
 def upsert_changes(
@@ -131,6 +150,7 @@ def upsert_changes(
     """The change rows :func:`upsert_changed` causes, without comparing snapshots."""
     keys = as_list(keys)
     keep = set(keep) | set(keys)
+    target, source, whole = _with_short_hash(target, source, hash_column)
     joined, changed = _matched(target, source, keys, hash_column, force, "inner")
     names = [c for c in target.columns]
     before = F.struct(*[quoted(c) for c in names], F.lit("update_preimage").alias("_change_type"))
@@ -140,9 +160,8 @@ def upsert_changes(
     )
     updates = joined.filter(changed).select(F.explode(F.array(before, after)).alias("__row"))
     inserts = _unmatched(source, target, keys).select(*[quoted(c) for c in names])
-    return updates.select("__row.*").unionByName(
-        inserts.withColumn("_change_type", F.lit("insert"))
-    )
+    moved = updates.select("__row.*").unionByName(inserts.withColumn("_change_type", F.lit("insert")))
+    return moved.withColumns(whole)
 
 
 def insert_only(target: DataFrame, source: DataFrame, hash_column: str = "row_hash") -> DataFrame:

@@ -202,6 +202,7 @@ def load_csv(
         if primary_key is None:
             folded = fold_insert_only(loads, "load_order").drop("load_seq", "load_order")
         else:
+            loads = staging.table(loads, "loads")  # read three times
             if not doubled_keys(good, accepted, primary_key).isEmpty():
                 raise ValueError("Duplicate primary keys detected")
             folded = fold_keyed(loads, primary_key, "load_order", force=REWRITTEN)

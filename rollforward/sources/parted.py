@@ -22,9 +22,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..functions.columns import any_null, as_list, quoted
+from ..functions.hashing import packed, unpacked
 from .snapshots import COMPRESSION, discard
 
 PART = "_part"
@@ -141,7 +142,10 @@ def replace_partitions(df: DataFrame, attempt: str, parts: Iterable[int] = ()) -
     Rows of a part meet in one task, unless they are many: then adaptive execution splits them.
     Of ``parts``, those without a row will be empty.
     """
-    df.hint("rebalance", PART).write.option("compression", COMPRESSION).partitionBy(PART).parquet(f"{attempt}/rows")
+    texts = [f.name for f in df.schema.fields if f.dataType == StringType()]
+    moved = df.withColumns({t: packed(quoted(t)) for t in texts}).hint("rebalance", PART)
+    whole = moved.withColumns({t: unpacked(quoted(t)) for t in texts})
+    whole.write.option("compression", COMPRESSION).partitionBy(PART).parquet(f"{attempt}/rows")
     spark = df.sparkSession
     for part in parts:
         folder = spark._jvm.org.apache.hadoop.fs.Path(f"{attempt}/rows/{PART}={part}")

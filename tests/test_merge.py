@@ -226,3 +226,17 @@ def test_change_feed_by_parts_reads_only_parts_that_differ(spark, tmp_path):
     scans = re.findall(r"PartitionFilters: (.*)", text.getvalue())
     here = sides[0].filter("k = 17").first()["part"]
     assert len(scans) >= 2 and all(re.search(rf"part#\d+ (=|IN) \(?{here}\b", s) for s in scans)
+
+
+def test_hashes_move_in_half_their_length(spark):
+    old = spark.range(40).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("row_hash"))
+    new = old.withColumn("row_hash", F.when(F.col("k") % 3 == 0, F.lit("short")).otherwise(F.col("row_hash")))
+    merged = merge.upsert_changed(old, new, "k", keep=())
+    assert "unhex(" in merged._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(merged) == rows(new)
+    moved = merge.upsert_changes(old, new, "k", keep=())
+    assert rows(moved.filter("_change_type = 'update_postimage'").drop("_change_type")) == rows(new.filter("k % 3 = 0"))
+    assert merge.kinds_of_change(old, new, "k").count() == 14
+    # hashes that are no text are left as they are
+    numbers = lambda df: df.withColumn("row_hash", F.length("row_hash"))
+    assert rows(merge.upsert_changed(numbers(old), numbers(new), "k", keep=())) == rows(numbers(new))
