@@ -36,6 +36,7 @@ from ..operators.quality import DROP_ALL, DUPLICATE_KEY, FULL_DUPLICATE, OFF, Ru
 from ..operators.rollup import Rollup, newest_part, rollup_by_date
 from ..plans.ingest import Staging
 from ..sources import parted
+from ..sources.snapshots import COMPRESSION
 
 COPIES, TIE = "_copies", "_tie"
 INSERT, DELETE = "insert", "delete"
@@ -84,7 +85,7 @@ class KeyedReplay:
             if self.version != parted.VERSION and parted.VERSION in typed.columns:
                 raise ValueError(f"a column {parted.VERSION} beside the version column {self.version}")
             typed = staging.table(typed.filter(quoted(self.version).isNotNull()), "batch")
-            null_rejects(typed, self.rules.required).write.mode("overwrite").parquet(f"{self.out}/rejects/batch={batch_id}")
+            null_rejects(typed, self.rules.required).write.mode("overwrite").option("compression", COMPRESSION).parquet(f"{self.out}/rejects/batch={batch_id}")
             self._take_rows(staging, not_null(typed, self.rules.required), batch_id)
             self._take_moves(staging, typed.schema, batch_id)
 
