@@ -104,6 +104,39 @@ def by_heat(df: DataFrame, keys: str | Iterable[str]) -> tuple[DataFrame, DataFr
     return sides[0], sides[1]
 
 
+MARKS = 1 << 27  # bits in which keys that may repeat are noted: 16 MB to broadcast at most
+
+
+def by_repeats(
+    df: DataFrame, keys: str | Iterable[str], others: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """``(alone, again)``: rows whose key occurs once, and all rows whose key may occur again.
+
+    Only hashes of keys move, combined on the map side. Those that occur twice, here or in the
+    columns ``keys`` of ``others``, are noted in bitmaps of a bounded size. A key that shares its
+    bit with one of them is in ``again``, too, so that side needs an exact test; the more keys
+    repeat, the more rows it has, up to all. Rows of one key are all on the same side.
+    """
+    keys = as_list(keys)
+    hashed = F.xxhash64(*[quoted(k) for k in keys])
+    marks = df.select(hashed.alias("__mark"))
+    if others is not None:
+        marks = marks.unionAll(others.select(hashed.alias("__mark")))
+    place, found = (F.pmod(mark, F.lit(MARKS)) + 1 for mark in (hashed, F.col("__mark")))
+    twice = marks.groupBy("__mark").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1)
+    noted = twice.groupBy(F.bitmap_bucket_number(found).alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(found)).alias("__bits")
+    )
+    position = F.bitmap_bit_position(place)
+    byte = F.substring("__bits", F.shiftright(position, 3).cast("int") + 1, F.lit(1))
+    bit = F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), position.bitwiseAND(F.lit(7)).cast("int") + 1)
+    is_noted = (F.bitmap_bucket_number(place) == F.col("__bucket")) & (
+        F.conv(F.hex(byte), 16, 10).cast("int").bitwiseAND(bit) != 0
+    )
+    alone, again = (df.join(F.broadcast(noted), is_noted, how) for how in ("left_anti", "left_semi"))
+    return alone, again
+
+
 def all_but_first(
     df: DataFrame, keys: str | Iterable[str], order: Sequence[str | Column]
 ) -> DataFrame:
