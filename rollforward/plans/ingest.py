@@ -23,7 +23,7 @@ from ..operators.files import (
     log_rows,
     new_files,
 )
-from ..operators.first import one_per_key
+from ..operators.first import by_repeats, one_per_key
 from ..operators.fold import fold_insert_only, fold_keyed
 from ..operators.quality import pk_violations
 from ..sources.delimited import as_text, inferred_types, list_files, read_csv, typed
@@ -181,9 +181,13 @@ def load_csv(
         line = F.to_csv(F.struct(*[quoted(c) for c in data]), {"sep": delimiter}) if bad_values == SET_ASIDE else F.lit(None)
         extra = [F.coalesce(*tests, F.lit(None).cast("string")).alias(LOST), line.cast("string").alias(LINE)]
         hash_ = row_hash_null_safe if null_safe_hash else row_hash
-        extra.append(hash_(data, [as_typed[c] if schema is not None else quoted(c) for c in data]).alias("row_hash"))
         columns = [values[c].alias(c) for c in data]
-        rows = staging.table(parsed.select(*columns, *FILE_COLUMNS, *extra), "rows")
+        if schema is not None or exists:  # the hash of the values as they are stored: cheaper to repeat than to keep
+            rows = staging.table(parsed.select(*columns, *FILE_COLUMNS, *extra), "rows")
+            rows = rows.withColumn("row_hash", hash_(data))
+        else:
+            extra.append(hash_(data, [quoted(c) for c in data]).alias("row_hash"))
+            rows = staging.table(parsed.select(*columns, *FILE_COLUMNS, *extra), "rows")
         log = table_or_empty(spark, log_table, LOAD_LOG_SCHEMA)
         files = accept_files(rows, log, files=list_files(spark, paths))
         accepted = staging.table(files, "accepted")
@@ -198,11 +202,10 @@ def load_csv(
                 raise ValueError(f"{table}: value does not fit column {taken[0]}")
             set_aside = 0
         good = rows.filter(F.col(LOST).isNull()).drop(LOST, LINE)
-        loads = rows_to_load(good, accepted)
         if primary_key is None:
-            folded = fold_insert_only(loads, "load_order").drop("load_seq", "load_order")
+            folded = _first_rows(good, accepted, staging)
         else:
-            loads = staging.table(loads, "loads")  # read three times
+            loads = staging.table(rows_to_load(good, accepted), "loads")  # read three times
             if not doubled_keys(good, accepted, primary_key).isEmpty():
                 raise ValueError("Duplicate primary keys detected")
             folded = fold_keyed(loads, primary_key, "load_order", force=REWRITTEN)
@@ -215,12 +218,21 @@ def load_csv(
             changes_table=changes_table,
             load_time=load_time,
             folded=primary_key is not None,
+            stored=primary_key is None,
             parts=parts,
         )
         append(log_rows(accepted, load_time), log_table, root)
         return Loaded(accepted.count(), set_aside, merged)
 
 
+def _first_rows(rows: DataFrame, accepted: DataFrame, staging: Staging) -> DataFrame:
+    """Per hash its row from the first accepted file that has it; hashes that occur once are not moved."""
+    kept = rows.join(accepted.select(*FILE_COLUMNS), list(FILE_COLUMNS), "left_semi").select(*[quoted(c) for c in rows.columns])
+    alone, again = by_repeats(kept, "row_hash")
+    first = fold_insert_only(rows_to_load(again, accepted), "load_order").drop("load_seq", "load_order")
+    return alone.drop(*FILE_COLUMNS).unionByName(staging.table(first, "first"))
+
+
 def _set_aside(bad: DataFrame, accepted: DataFrame, rejects_table: str, root: str) -> int:
     """Write rows with a bad value to the rejects; returns their number.
 
@@ -267,6 +279,7 @@ def merge_into_table(
     changes_table: str | None = None,
     load_time: datetime | Column | None = None,
     folded: bool = False,
+    stored: bool = False,
     parts: int | None = None,
 ) -> Merged:
     """Create ``table`` from the rows, or merge them into it; its files go under ``root``.
@@ -283,7 +296,8 @@ def merge_into_table(
     that another load has changed in the meantime is an error. A value that does not fit the
     table's type and a key that the rows hold twice are errors before anything is written.
     Column names match in any case; ``folded`` rows come from a keyed fold of files that
-    were checked. A table that is not in parts is rewritten as one first.
+    were checked. Rows are stored first, as they are read several times; ``stored`` ones are cheap to
+    read again. A table that is not in parts is rewritten as one first.
     """
     spark = df.sparkSession
     keys = as_list(primary_key) if primary_key is not None else []
@@ -300,7 +314,7 @@ def merge_into_table(
         if cut_by:
             dealt = parted.part_of(cut_by, state.parts if state else parts, ["row_hash"])
             conformed = conformed.withColumn(parted.PART, dealt)
-        source = staging.table(conformed, "source")
+        source = conformed if stored else staging.table(conformed, "source")
         bad = source.filter(quoted(LOST).isNotNull()).select(LOST).first()
         if bad is not None:
             raise ValueError(f"{table}: value does not fit column {bad[0]}")
@@ -318,9 +332,12 @@ def merge_into_table(
             if keys:
                 merged = _write_changed_parts(spark, table, source, keys, force, attempt, changes_table is not None)
             else:
-                new = merge.insert_only_changes(spark.table(table).select("row_hash"), source)
-                new = staging.table(new, "new")
-                merged = _write_new_rows(spark, table, new, attempt, changes_table is not None)
+                new = _new_rows(spark, table, source)
+                if parted.PART in new.columns:
+                    new = staging.table(new, "new")
+                    merged = _write_new_rows(spark, table, new, attempt, changes_table is not None)
+                else:
+                    merged = _write_new_part(spark, table, new, attempt)
             if merged.parts:
                 version = parted.newest_version(spark, changes_table) + 1 if changes_table else None
                 publish(spark, table, attempt, state, changes_table, version)
@@ -389,12 +406,28 @@ def _write_changed_parts(
     return Merged(n(merge.INSERT), n(merge.UPDATE), tuple(changed))
 
 
+def _new_rows(spark: SparkSession, table: str, source: DataFrame) -> DataFrame:
+    """The change rows of an insert by hash; hashes that neither side has again are not moved."""
+    known = spark.table(table).select("row_hash")
+    if not parted.partition_values(spark, table):
+        return source.withColumn("_change_type", F.lit(merge.INSERT))
+    alone, again = by_repeats(source, "row_hash", known)
+    return alone.withColumn("_change_type", F.lit(merge.INSERT)).unionByName(merge.insert_only_changes(known, again))
+
+
+def _write_new_part(spark: SparkSession, table: str, new: DataFrame, attempt: str) -> Merged:
+    """Add change rows as a part of their own, written once: the feed's version has the same folder."""
+    part, seen = max(parted.partition_values(spark, table), default=-1) + 1, Observation()
+    parted.write_part(new.observe(seen, F.count(F.lit(1)).alias("n")), attempt, part)
+    if not seen.get["n"]:
+        discard(spark, attempt)
+        return Merged()
+    return Merged(inserted=seen.get["n"], parts=(part,))
+
+
 def _write_new_rows(spark: SparkSession, table: str, new: DataFrame, attempt: str, feed: bool) -> Merged:
-    """Add rows: as a part of their own, or to the parts that their keys belong to."""
+    """Add rows to the parts that their keys belong to."""
     rows = new.drop("_change_type")
-    if parted.PART not in new.columns:
-        part = max(parted.partition_values(spark, table), default=-1) + 1
-        rows = rows.withColumn(parted.PART, F.lit(part))
     counts = rows.groupBy(parted.PART).count().collect()  # at most one per part
     changed = sorted(r[parted.PART] for r in counts)
     if not changed:

@@ -152,6 +152,11 @@ def replace_partitions(df: DataFrame, attempt: str, parts: Iterable[int] = ()) -
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
 
 
+def write_part(changes: DataFrame, attempt: str, part: int) -> None:
+    """Write change rows as a new part: a version of a feed that has no other folder is read there."""
+    changes.write.option("compression", COMPRESSION).parquet(f"{attempt}/rows/{PART}={part}")
+
+
 def write_changes(df: DataFrame, attempt: str) -> None:
     df.write.option("compression", COMPRESSION).parquet(f"{attempt}/changes")
 
@@ -262,6 +267,8 @@ def _partition_columns(spark: SparkSession, table: str) -> list[str]:
 def _add_version(spark: SparkSession, state: State) -> None:
     """Make the attempt's changes a version of the feed, a partition with that folder."""
     path = f"{state.attempt}/changes"
+    if not folders(spark, state.attempt, "changes"):
+        [(_, path)] = folders(spark, f"{state.attempt}/rows", f"{PART}=")
     if not spark.catalog.tableExists(state.feed):
         fields = [f for f in spark.read.parquet(path).schema.fields if f.name != VERSION]
         _create(spark, state.feed, fields, StructField(VERSION, _INT), f"{state.root}-{VERSION}s", {PARTS_PROPERTY: "0", KEYS_PROPERTY: "", ROOT_PROPERTY: state.root})

@@ -239,3 +239,21 @@ def test_values_that_do_not_fit_the_table_are_set_aside(spark, tmp_path):
     load_csv(spark, str(tmp_path / "in"), "fits_t", "fits_log", root, **options)
     assert rows(spark.table("fits_t"), "id", "v") == [(1, 10), (3, 30)]
     assert rows(spark.table("fits_rejects"), "line", "reject_reason") == [("2,1.5", "bad_cast:v")]
+
+
+def test_a_load_without_a_key_writes_its_rows_once(spark, tmp_path):
+    root, folder = str(tmp_path / "root"), tmp_path / "in"
+    folder.mkdir()
+    options = {"changes_table": "once_changes", "schema": "a int, b string", "load_time": NOW}
+    for name, lines in (("1.csv", ["1,x", "2,y", "2,y"]), ("2.csv", ["2,y", "3,z"]), ("3.csv", ["1,x", "2,y"])):
+        (folder / name).write_text("\n".join(["a,b", *lines]) + "\n")
+        done = load_csv(spark, str(folder / name), "once_t", "once_log", root, **options)
+    assert done.merged == ingest.Merged()
+    assert rows(spark.table("once_t"), "_part", "a", "b") == [(0, 1, "x"), (0, 2, "y"), (1, 3, "z")]
+    assert "_change_type" not in spark.table("once_t").columns
+    feed = rows(spark.table("once_changes"), "version", "a", "b", "_change_type")
+    assert feed == [(0, 1, "x", "insert"), (0, 2, "y", "insert"), (1, 3, "z", "insert")]
+    state = parted.state_of(spark, "once_t")
+    assert files_below(f"{state.attempt}/rows") and not files_below(f"{state.attempt}/changes")
+    parted.expire(spark, "once_t")
+    assert rows(spark.table("once_changes"), "version", "a", "b", "_change_type") == feed
