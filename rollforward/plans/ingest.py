@@ -182,7 +182,8 @@ def load_csv(
         extra = [F.coalesce(*tests, F.lit(None).cast("string")).alias(LOST), line.cast("string").alias(LINE)]
         hash_ = row_hash_null_safe if null_safe_hash else row_hash
         columns = [values[c].alias(c) for c in data]
-        if schema is not None or exists:  # the hash of the values as they are stored: cheaper to repeat than to keep
+        if (schema is not None or exists) and "row_hash" not in {c.lower() for c in data}:
+            # the hash of the values as they are stored: cheaper to repeat than to keep
             rows = staging.table(parsed.select(*columns, *FILE_COLUMNS, *extra), "rows")
             rows = rows.withColumn("row_hash", hash_(data))
         else:
