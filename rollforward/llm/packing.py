@@ -18,13 +18,17 @@ from __future__ import annotations
 
 import heapq
 import os
+import string
 import unicodedata
 import zlib
+from collections import deque
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,120 +44,171 @@ PIECES = (
 )
 
 
-MARKS = b".,;:!?*#$%&"
-JOINED = 4_000  # words that go through the tokenizer as one text
-GROUP_BYTES = 1 << 20  # of texts whose new words are learned together
+MARKS = ".,;:!?*#$%&"
+JOINED = 1_000  # words that go through the tokenizer as one text
+PROBED = 2_000  # words of the vocabulary that tell whether letters need no preparation
+GROUP_BYTES = 16 << 20  # of texts whose new words are learned together
+GROUP_TEXTS = 200_000
+OUT_ROWS = 10_000  # of pieces that leave a task at once
 
 
-def split_word(word: bytes) -> tuple[bytes, bytes]:
-    """A word in lower case and the marks at its end, which the tokenizer takes apart anyway.
+def split_words(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Words in lower case, and apart the marks at their ends, which the tokenizer takes apart anyway.
 
     A letter that a combining mark follows keeps its case: some pairs compose in one case only.
+    Marks stay where no letter comes before them.
     """
-    if b"\xcc" not in word and b"\xcd" not in word:
-        word = word.lower()  # of bytes: ASCII only
-    core = word.rstrip(MARKS)
-    if core and core != word and (core[-1:].isalpha() or ends_in_letter(core.decode())):
-        return core, word[len(core) :]
-    return word, b""
+    raw = words.cast(pa.binary())
+    cased = pc.or_(pc.match_substring(raw, b"\xcc"), pc.match_substring(raw, b"\xcd"))
+    words = pc.if_else(cased, words, pc.ascii_lower(words))
+    cores = pc.ascii_rtrim(words, characters=MARKS)
+    size = pc.binary_length(cores)
+    trimmed = pc.and_(pc.greater(size, 0), pc.less(size, pc.binary_length(words)))
+    at = np.flatnonzero(trimmed.to_numpy(zero_copy_only=False))
+    ends = np.full(len(words), "", object)
+    apart = np.zeros(len(words), bool)
+    pairs = zip(cores.take(pa.array(at)).to_pylist(), words.take(pa.array(at)).to_pylist())
+    for i, (core, word) in zip(at.tolist(), pairs):
+        if ends_in_letter(core):
+            apart[i], ends[i] = True, word[len(core) :]
+    return pc.if_else(pa.array(apart), cores, words), pa.array(ends, pa.string())
 
 
 def ends_in_letter(word: str) -> bool:
     """Whether it still does as the tokenizer reads it: some letters become a letter and a mark."""
-    return unicodedata.normalize("NFC", word[-1]).lower()[-1].isalpha()
+    last = word[-1]
+    if last.isascii():
+        return last.isalpha()
+    return unicodedata.normalize("NFC", last).lower()[-1].isalpha()
 
 
-class WordIds(dict):
-    """Token ids, as little-endian unsigned 32-bit numbers, per word between ASCII white space.
+def joined_array(arrays: list[pa.Array], kind: pa.DataType) -> pa.Array:
+    return pa.concat_arrays([pa.array([], kind), *arrays])
 
-    The tokenizer never looks across white space, so a text's ids are those of its words.
+
+class WordIds:
+    """Token ids, as little-endian unsigned 32-bit numbers, of words between ASCII white space.
+
+    The tokenizer never looks across white space, so a text's ids are those of its words. The
+    distinct words of a group of texts are looked up together; words are remembered up to a
+    bounded number and size, then those of the last group alone.
     """
 
-    LIMIT = 500_000
+    LIMIT = 1_000_000
+    BYTES = 64 << 20  # of words and ids
 
     def __init__(self, tokenizer_file: str):
-        super().__init__()
         self.file, self.tokenizer = tokenizer_file, None
+        self.words, self.ids = pa.array([], pa.string()), pa.array([], pa.large_binary())
 
     def _load(self) -> None:
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         # a task has one core: threads for a handful of words cost more than the words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(self.file)
-        self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocabulary = self.tokenizer.get_vocab()
         self.is_end = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         if suffix:
             self.is_end[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
-
-    def _encode(self, words: list[str]) -> Iterator[bytes]:
-        for found in self.tokenizer.encode_batch_fast(words, add_special_tokens=False):
-            yield np.array(found.ids, "<u4").tobytes()
-
-    def _encode_joined(self, words: list[str]) -> Iterator[bytes]:
+        # the same model without preparation, for words that preparation leaves as they are
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = WhitespaceSplit()
+        words = sorted(token.removesuffix(suffix or "") for token in vocabulary)
+        words = [w for w in words if w.isascii() and w.isalpha() and w.islower()]
+        probe = " ".join([*string.ascii_lowercase, string.ascii_lowercase, *words[:: len(words) // PROBED + 1]])
+        if self.plain.encode(probe, add_special_tokens=False).ids != self._whole(probe):
+            self.plain = self.tokenizer
+
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _encode(self, words: list[str]) -> pa.Array:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return pa.array([np.array(f.ids, "<u4").tobytes() for f in found], pa.large_binary())
+
+    def _encode_joined(self, tokenizer, words: pa.Array) -> Iterator[pa.Array]:
         """Ids of words of letters: as one text, cut where a token ends a word.
 
         Each word gives one such token or more. If there are more of them than words, the
         tokenizer has taken a word apart, and the words are encoded one by one.
         """
         for start in range(0, len(words), JOINED):
-            part = words[start : start + JOINED]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            ends = (np.flatnonzero(self.is_end[ids]) + 1) * 4
-            if len(ends) != len(part) or ends[-1] != 4 * len(ids):
-                yield from self._encode(part)
+            part = words.slice(start, JOINED).to_pylist()
+            found = tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0]
+            ids = np.array(found.ids, "<u4")
+            ends = np.flatnonzero(self.is_end[ids]) + 1
+            if len(ends) != len(part) or ends[-1] != len(ids):
+                yield self._encode(part)
                 continue
-            raw, ends = ids.tobytes(), ends.tolist()
-            yield from map(raw.__getitem__, map(slice, [0, *ends], ends))
-
-    def learn(self, words: set[bytes]) -> None:
-        new = words.difference(self)
-        if not new:
-            return
-        if len(self) + len(new) > self.LIMIT:
-            self.clear()
-            new = words
-        halves = {w: split_word(w) for w in new}
-        parts = {p for pair in halves.values() for p in pair if p and p not in self}
-        letters: list[bytes] = []
-        others: list[bytes] = []
-        texts: tuple[list[str], list[str]] = ([], [])
-        for part in parts:
-            text = part.decode()
-            plain = text.isalpha()
-            (letters if plain else others).append(part)
-            texts[0 if plain else 1].append(text)
-        self.update(zip(letters, self._encode_joined(texts[0])))
-        self.update(zip(others, self._encode(texts[1])))
-        self[b""] = b""
-        self.update((w, self[core] + self[end]) for w, (core, end) in halves.items())
+            offsets = np.concatenate([[0], ends]).astype(np.int64) * 4
+            buffers = [None, pa.py_buffer(offsets), pa.py_buffer(ids)]
+            yield pa.Array.from_buffers(pa.large_binary(), len(part), buffers)
+
+    def _learn(self, words: pa.Array) -> pa.Array:
+        """The ids of distinct words."""
+        place = pc.index_in(words, value_set=self.words)
+        new = np.flatnonzero(place.is_null().to_numpy(zero_copy_only=False))
+        place = place.fill_null(0).to_numpy().astype(np.int64)
+        unknown = words.take(pa.array(new))
+        letters = pc.utf8_is_alpha(unknown).to_numpy(zero_copy_only=False)
+        plain = letters & pc.and_(pc.string_is_ascii(unknown), pc.ascii_is_lower(unknown)).to_numpy(zero_copy_only=False)
+        order = np.concatenate([np.flatnonzero(kind) for kind in (plain, letters & ~plain, ~letters)])
+        groups = np.cumsum([np.count_nonzero(plain), np.count_nonzero(letters & ~plain)])
+        simple, other, rest = (unknown.take(pa.array(at)) for at in np.split(order, groups))
+        found = [
+            *self._encode_joined(self.plain, simple),
+            *self._encode_joined(self.tokenizer, other),
+            self._encode(rest.to_pylist()),
+        ]
+        place[new[order]] = len(self.words) + np.arange(len(new))
+        self.words = joined_array([self.words, simple, other, rest], pa.string())
+        self.ids = joined_array([self.ids, *found], pa.large_binary())
+        ids = self.ids.take(pa.array(place))
+        if len(self.words) > self.LIMIT or self.words.nbytes + self.ids.nbytes > self.BYTES:
+            self.words, self.ids = words, ids
+        return ids
 
     def of(self, texts: Iterable[bytes]) -> Iterator[bytes]:
         """The ids of each text; new words of a group of texts are learned together."""
         if self.tokenizer is None:
             self._load()
-        group: list[list[bytes] | str] = []
+        group: list[bytes] = []
         held = 0
         for text in texts:
-            lowered = text.lower()
-            special = any(token in lowered for token in self.special)
-            group.append(text.decode() if special else text.split())
+            group.append(text)
             held += len(text)
-            if held >= GROUP_BYTES:
-                yield from self._of_group(group)
+            if held >= GROUP_BYTES or len(group) >= GROUP_TEXTS:
+                yield from self._of_group(pa.array(group, pa.string()))
                 group, held = [], 0
-        yield from self._of_group(group)
+        if group:
+            yield from self._of_group(pa.array(group, pa.string()))
 
-    def _of_group(self, group: list[list[bytes] | str]) -> Iterator[bytes]:
+    def _of_group(self, texts: pa.Array) -> Iterator[bytes]:
         """Texts that hold a special token, in any case, are left to the tokenizer as a whole."""
-        self.learn(set().union(*[words for words in group if isinstance(words, list)]))
-        for words in group:
-            if isinstance(words, str):
-                yield np.array(self.tokenizer.encode(words, add_special_tokens=False).ids, "<u4").tobytes()
+        lowered = pc.ascii_lower(texts)
+        special = pa.array(np.zeros(len(texts), bool))
+        for token in self.special:
+            special = pc.or_(special, pc.match_substring(lowered, token))
+        del lowered
+        split = pc.ascii_split_whitespace(pc.if_else(special, "", texts))
+        words = split.flatten().dictionary_encode()
+        distinct = len(words.dictionary)
+        parts = pa.concat_arrays(split_words(words.dictionary)).dictionary_encode()
+        ids = self._learn(parts.dictionary).take(parts.indices)
+        ids = pc.binary_join_element_wise(ids[:distinct], ids[distinct:], pa.scalar(b"", pa.large_binary()))
+        ids = ids.take(words.indices)
+        _, starts, data = ids.buffers()
+        bounds = np.frombuffer(starts, np.int64)[split.offsets.to_numpy()].tolist()
+        data = memoryview(data or b"")
+        for i, whole in enumerate(special.to_pylist()):
+            if whole:
+                yield np.array(self._whole(texts[i].as_py()), "<u4").tobytes()
             else:
-                yield b"".join(map(self.__getitem__, words))
+                yield data[bounds[i] : bounds[i + 1]].tobytes()
 
 
 _IDS: dict[str, WordIds] = {}  # per Python worker
@@ -166,22 +221,31 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, end_id: int, capacity: in
         ids_of = _IDS.setdefault(tokenizer_file, WordIds(tokenizer_file))
         end = np.array([end_id], "<u4").tobytes()
         part, piece = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            out: dict[str, list] = {name: [] for name in ("doc_id", "start", "length", "crc", "tokens")}
-            for doc_id, ids in zip(batch.column(0).to_pylist(), ids_of.of(as_bytes(batch.column(1)))):
+        doc_ids: deque[int | None] = deque()  # of texts that were read and not cut yet
+
+        def texts() -> Iterator[bytes]:
+            for batch in batches:
+                for doc_id, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1))):
+                    doc_ids.append(doc_id)
+                    yield text
+
+        def rows() -> Iterator[tuple]:
+            for ids in ids_of.of(texts()):
+                doc_id = doc_ids.popleft()
                 ids += end
                 n = len(ids) // 4
                 whole = n - n % capacity
                 for start in [*range(0, whole, capacity), *range(whole, n, REST)]:
                     stop = min(n, start + (capacity if start < whole else REST))
                     piece_ids = ids[4 * start : 4 * stop]
-                    values = (doc_id, start, stop - start, zlib.crc32(piece_ids), n)
-                    for column, value in zip(out.values(), values):
-                        column.append(value)
-            n = len(out["start"])
+                    yield doc_id, start, stop - start, zlib.crc32(piece_ids), n
+
+        found = rows()
+        while out := list(islice(found, OUT_ROWS)):
+            n = len(out)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *[pa.array(v, pa.int64()) for v in out.values()],
+                    *[pa.array(v, pa.int64()) for v in zip(*out)],
                     pa.array([part] * n, pa.int32()),
                     pa.array(range(piece, piece + n), pa.int64()),
                 ],
