@@ -23,7 +23,7 @@ import unicodedata
 import zlib
 from collections import deque
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import islice, pairwise
 
 import numpy as np
 import pandas as pd
@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, stage
+from .common import as_bytes, release_memory, stage
 
 REST = 1024  # the longest piece of a rest
 BLOCK_TOKENS = 2_000_000  # of rests; bounds what one task packs at once
@@ -47,7 +47,7 @@ PIECES = (
 MARKS = ".,;:!?*#$%&"
 JOINED = 1_000  # words that go through the tokenizer as one text
 PROBED = 2_000  # words of the vocabulary that tell whether letters need no preparation
-GROUP_BYTES = 16 << 20  # of texts whose new words are learned together
+GROUP_BYTES = 8 << 20  # of texts whose new words are learned together
 GROUP_TEXTS = 200_000
 OUT_ROWS = 10_000  # of pieces that leave a task at once
 
@@ -94,7 +94,7 @@ class WordIds:
     bounded number and size, then those of the last group alone.
     """
 
-    LIMIT = 1_000_000
+    LIMIT = 500_000
     BYTES = 64 << 20  # of words and ids
 
     def __init__(self, tokenizer_file: str):
@@ -182,33 +182,41 @@ class WordIds:
             group.append(text)
             held += len(text)
             if held >= GROUP_BYTES or len(group) >= GROUP_TEXTS:
-                yield from self._of_group(pa.array(group, pa.string()))
+                found = self._of_group(pa.array(group, pa.string()))
                 group, held = [], 0
+                yield from found
         if group:
             yield from self._of_group(pa.array(group, pa.string()))
 
     def _of_group(self, texts: pa.Array) -> Iterator[bytes]:
         """Texts that hold a special token, in any case, are left to the tokenizer as a whole."""
-        lowered = pc.ascii_lower(texts)
-        special = pa.array(np.zeros(len(texts), bool))
+        lowered, special = pc.ascii_lower(texts), pa.array(np.zeros(len(texts), bool))
         for token in self.special:
             special = pc.or_(special, pc.match_substring(lowered, token))
+        left = {i: texts[i].as_py() for i in np.flatnonzero(special.to_numpy(zero_copy_only=False)).tolist()}
+        if left:
+            texts = pc.if_else(special, "", texts)
         del lowered
-        split = pc.ascii_split_whitespace(pc.if_else(special, "", texts))
-        words = split.flatten().dictionary_encode()
-        distinct = len(words.dictionary)
-        parts = pa.concat_arrays(split_words(words.dictionary)).dictionary_encode()
+        split = pc.ascii_split_whitespace(texts)
+        del texts  # and what else is large, once it is used
+        words, bounds = split.flatten().dictionary_encode(), split.offsets.to_numpy()
+        del split
+        words, distinct = words.indices, words.dictionary
+        parts, n = pa.concat_arrays(split_words(distinct)).dictionary_encode(), len(distinct)
+        del distinct
         ids = self._learn(parts.dictionary).take(parts.indices)
-        ids = pc.binary_join_element_wise(ids[:distinct], ids[distinct:], pa.scalar(b"", pa.large_binary()))
-        ids = ids.take(words.indices)
+        del parts
+        ids = pc.binary_join_element_wise(ids[:n], ids[n:], pa.scalar(b"", pa.large_binary())).take(words)
+        del words
         _, starts, data = ids.buffers()
-        bounds = np.frombuffer(starts, np.int64)[split.offsets.to_numpy()].tolist()
+        bounds = np.frombuffer(starts, np.int64)[bounds].tolist()
+        del starts, ids
         data = memoryview(data or b"")
-        for i, whole in enumerate(special.to_pylist()):
-            if whole:
-                yield np.array(self._whole(texts[i].as_py()), "<u4").tobytes()
+        for i, (start, stop) in enumerate(pairwise(bounds)):
+            if i in left:
+                yield np.array(self._whole(left[i]), "<u4").tobytes()
             else:
-                yield data[bounds[i] : bounds[i + 1]].tobytes()
+                yield data[start:stop].tobytes()
 
 
 _IDS: dict[str, WordIds] = {}  # per Python worker
@@ -252,6 +260,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, end_id: int, capacity: in
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "piece"],
             )
             piece += n
+        release_memory()
 
     columns = docs.select(F.col("doc_id").cast("long"), F.col("text"))
     return stage(columns.mapInArrow(cut, PIECES), "pieces")
