@@ -139,21 +139,21 @@ def estimate(a: Column, b: Column) -> Column:
 def components(edges: DataFrame) -> DataFrame:
     """Per node of an edge list (a, b) the smallest node it is connected with.
 
-    Large-star and small-star steps in turn; each turn is written, and only a count and a
-    checksum of the edges pass through the driver.
+    Large-star and small-star steps in turn; each step is written, and only a count and a
+    checksum of the edges pass through the driver. A plan reads what was written before it
+    twice: if a turn were one plan, that would double with every step in it, and the driver
+    keeps, rewrites and logs all of it whenever a stage ends.
     """
-    edges = edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    edges = edges.filter("a != b")
     before = None
     while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = star(edges, F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
         large = both.join(low.hint("merge"), "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = large.distinct()
+        large = stage(large.distinct(), "large-star")
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low.hint("merge"), "a")
-        small = small.select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(
-            small.select("a", F.col("low").alias("b"))
-        )
+        small = star(small, *[F.struct(F.col(c).alias("a"), F.col("low").alias("b")) for c in "ba"])
         edges = stage(small.filter("a != b").distinct(), "edges")
         after = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if after == before:
@@ -161,6 +161,11 @@ def components(edges: DataFrame) -> DataFrame:
         before = after
 
 
+def star(rows: DataFrame, *edges: Column) -> DataFrame:
+    """Several edges (a, b) of each row, in one pass over the rows."""
+    return rows.select(F.explode(F.array(*edges)).alias("edge")).select("edge.a", "edge.b")
+
+
 def compared(pairs: DataFrame, classes: DataFrame, keyed: DataFrame, k: int) -> DataFrame:
     """The pairs (a, b) of classes with their full sets ``x`` and ``y`` and what is common."""
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()

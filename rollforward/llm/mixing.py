@@ -105,8 +105,8 @@ def thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
         state = found.withColumn("rest", F.col("rest") - (F.col("upto") - F.col("tokens"))).select(
             *[c for c in left.columns], "bucket", "tokens"
         )
-        if step < STEPS:
-            state = state.drop("tokens")
+        if step < STEPS:  # written, as the next step reads it twice: the plan would double with each
+            state = stage(state.drop("tokens"), "bucket-ends")
     closer = F.col("tokens") - F.col("rest") < F.col("rest")
     end = F.shiftleft(F.col("bucket") + closer.cast("long"), HASH_BITS - STEPS * STEP_BITS)
     end = F.when(F.col("whole"), 0).otherwise(end)  # also of documents without a word none is taken once more

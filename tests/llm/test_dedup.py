@@ -167,6 +167,33 @@ def test_drop_near_copies_keeps_one_of_each(documents):
     assert kept.count() == len(set(full))
 
 
+def test_components_are_the_smallest_nodes_and_plans_stay_small(spark, monkeypatch):
+    """No plan reads what was written before it more than a few times."""
+    rng = random.Random(8)
+    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(300, 330)]
+    edges += edges[:20] + [(b, a) for a, b in edges[20:40]]
+    root = {n: n for e in edges for n in e}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in edges:
+        low, high = sorted((find(a), find(b)))
+        root[high] = low
+    leaves, write = [], minhash.stage
+
+    def counted(df, name):
+        leaves.append(df._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+        return write(df, name)
+
+    monkeypatch.setattr(minhash, "stage", counted)
+    found = {r["node"]: r["root"] for r in minhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == {n: find(n) for n in root if find(n) != n}
+    assert leaves and max(leaves) <= 2
+
+
 def test_estimate_is_corrected_for_chance(spark):
     import numpy as np
 

@@ -89,6 +89,19 @@ def test_mix_meets_targets(documents):
     assert sum(target.values()) == pytest.approx(sum(r["size"] for r in found))
 
 
+def test_plans_of_a_mix_stay_small(documents, monkeypatch):
+    """A step's plan does not hold those of the steps before it."""
+    leaves, write = [], mixing.stage
+
+    def counted(df, name):
+        leaves.append(df._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+        return write(df, name)
+
+    monkeypatch.setattr(mixing, "stage", counted)
+    found = mixing.mix(documents([(i, "w " * (1 + i % 7), None, "ab"[i % 2]) for i in range(50)]))
+    assert found.count() == 50 and max(leaves) <= 4
+
+
 def test_mix_defined_results(documents):
     docs = documents(ROWS)
     assert mixing.mix(docs).count() == len(ROWS)
