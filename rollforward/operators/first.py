@@ -117,24 +117,45 @@ def by_repeats(
     bit with one of them is in ``again``, too, so that side needs an exact test; the more keys
     repeat, the more rows it has, up to all. Rows of one key are all on the same side.
     """
-    keys = as_list(keys)
-    hashed = F.xxhash64(*[quoted(k) for k in keys])
+    return by_marks(df, keys, repeated_marks(df, keys, others))
+
+
+def _hashed(keys: Iterable[str]) -> Column:
+    return F.xxhash64(*[quoted(k) for k in keys])
+
+
+def repeated_marks(df: DataFrame, keys: str | Iterable[str], others: DataFrame | None = None) -> DataFrame:
+    """The bitmaps of :func:`by_repeats`, for :func:`by_marks`."""
+    hashed = _hashed(as_list(keys))
     marks = df.select(hashed.alias("__mark"))
     if others is not None:
         marks = marks.unionAll(others.select(hashed.alias("__mark")))
-    place, found = (F.pmod(mark, F.lit(MARKS)) + 1 for mark in (hashed, F.col("__mark")))
-    twice = marks.groupBy("__mark").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1)
-    noted = twice.groupBy(F.bitmap_bucket_number(found).alias("__bucket")).agg(
+    return _noted(marks.groupBy("__mark").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1))
+
+
+def key_marks(df: DataFrame, keys: str | Iterable[str]) -> DataFrame:
+    """Bitmaps of all keys, for :func:`by_marks`."""
+    return _noted(df.select(_hashed(as_list(keys)).alias("__mark")))
+
+
+def _noted(marks: DataFrame) -> DataFrame:
+    found = F.pmod(F.col("__mark"), F.lit(MARKS)) + 1
+    return marks.groupBy(F.bitmap_bucket_number(found).alias("__bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(found)).alias("__bits")
     )
+
+
+def by_marks(df: DataFrame, keys: str | Iterable[str], noted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(others, near)``: rows whose key is surely not noted, and rows whose key shares its bit with a noted one."""
+    place = F.pmod(_hashed(as_list(keys)), F.lit(MARKS)) + 1
     position = F.bitmap_bit_position(place)
     byte = F.substring("__bits", F.shiftright(position, 3).cast("int") + 1, F.lit(1))
     bit = F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), position.bitwiseAND(F.lit(7)).cast("int") + 1)
     is_noted = (F.bitmap_bucket_number(place) == F.col("__bucket")) & (
         F.conv(F.hex(byte), 16, 10).cast("int").bitwiseAND(bit) != 0
     )
-    alone, again = (df.join(F.broadcast(noted), is_noted, how) for how in ("left_anti", "left_semi"))
-    return alone, again
+    others, near = (df.join(F.broadcast(noted), is_noted, how) for how in ("left_anti", "left_semi"))
+    return others, near
 
 
 def all_but_first(

@@ -68,6 +68,17 @@ def rollup_by_date(df: DataFrame, spec: Rollup, extra: Iterable[str] = ()) -> Da
     ).agg(*spec.aggregates())
 
 
+def single_parts(df: DataFrame, spec: Rollup, extra: Iterable[str] = ()) -> DataFrame:
+    """:func:`rollup_by_date` of each row by itself, to be recombined: no row moves."""
+    keys = [*extra, *spec.keys]
+    types = {f.name: f.dataType for f in rollup_by_date(df, spec, extra).schema.fields}
+    return df.filter(quoted(spec.date).isNotNull()).select(
+        *[quoted(k).alias(k) for k in keys],
+        quoted(spec.date).alias(spec.date_as),
+        *[quoted(name).cast(types[out]).alias(out) for out, _, name in spec.measures],
+    )
+
+
 def recombine(parts: DataFrame, spec: Rollup, extra: Iterable[str] = ()) -> DataFrame:
     """Merge several :func:`rollup_by_date` results into one."""
     keys = [*extra, *spec.keys, spec.date_as]

@@ -136,14 +136,16 @@ def new_attempt(state: State) -> str:
     return f"{state.root}/{uuid.uuid4().hex}"
 
 
-def replace_partitions(df: DataFrame, attempt: str, parts: Iterable[int] = ()) -> None:
+def replace_partitions(df: DataFrame, attempt: str, parts: Iterable[int] = (), *, dealt: bool = False) -> None:
     """Write the whole new content of the parts that ``df`` holds, and of ``parts``.
 
     Rows of a part meet in one task, unless they are many: then adaptive execution splits them.
-    Of ``parts``, those without a row will be empty.
+    If ``df`` is ``dealt``, each part is in one task already and does not move. Of ``parts``,
+    those without a row will be empty.
     """
-    texts = [f.name for f in df.schema.fields if f.dataType == StringType()]
-    moved = df.withColumns({t: packed(quoted(t)) for t in texts}).hint("rebalance", PART)
+    texts = [f.name for f in df.schema.fields if f.dataType == StringType() and not dealt]
+    moved = df.withColumns({t: packed(quoted(t)) for t in texts})
+    moved = moved if dealt else moved.hint("rebalance", PART)
     whole = moved.withColumns({t: unpacked(quoted(t)) for t in texts})
     whole.write.option("compression", COMPRESSION).partitionBy(PART).parquet(f"{attempt}/rows")
     spark = df.sparkSession

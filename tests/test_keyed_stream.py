@@ -12,7 +12,7 @@ from rollforward.plans.incremental import replay
 from rollforward.streaming.keyed import KeyedReplay
 
 from .conftest import rows
-from .test_rollup import MEASURES, SCHEMA, random_feed
+from .test_rollup import DAYS, MEASURES, SCHEMA, random_feed
 
 NAMES = ["circuit_id", "version", *MEASURES, "hca_refresh_date"]
 IDS = ("circuit_id", "section_id")
@@ -111,3 +111,34 @@ def _locations(spark, stream):
 
     rows_table, _, winners, rollup = stream.tables
     return {(t, part): path for t in (rows_table, winners, rollup) for part, path in _locations(spark, t).items()}
+
+
+def test_a_row_that_is_alone_under_its_key_is_written_once(spark, tmp_path):
+    from pyspark.sql.utils import AnalysisException
+
+    rules = Rules(key=("row_hash",), order=("shape_length",))
+    feed = spark.createDataFrame(random_feed(14, 90, 2), SCHEMA).dropDuplicates(["row_hash"])
+    stream = replayed(tmp_path, rules)
+    for i, batch in enumerate(cut(feed, 3, 3)):
+        stream.apply(batch, i)
+    written = 0
+    for name in stream.tables[:3]:  # replaced folders, too
+        try:
+            written += spark.read.option("recursiveFileLookup", True).parquet(f"{stream.out}/{name}").count()
+        except AnalysisException:  # no folder, no file
+            pass
+    assert written == feed.count()
+    assert rows(stream.clean(spark), *feed.columns) == rows(feed)
+    assert rows(stream.result(spark), *NAMES) == rows(replay(feed, CIRCUIT_ROLLUP, rules), *NAMES)
+
+
+def test_an_entity_that_loses_its_newest_row_is_rolled_up_anew(spark, tmp_path):
+    rules = Rules(key=("row_hash",), full_duplicates=DROP_ALL)
+    day = lambda d, n, key: (1, 1, n, n, n, n, DAYS[d], n, 0, key)
+    batches = [[day(0, 1.0, "a"), day(2, 2.0, "b")], [day(0, 4.0, "c"), day(2, 2.0, "b")], [day(2, 2.0, "b")]]
+    stream = replayed(tmp_path, rules)
+    found = []
+    for i, batch in enumerate(batches):
+        stream.apply(spark.createDataFrame(batch, SCHEMA), i)
+        found.append([(r["hca_refresh_date"], r["shape_length"]) for r in stream.result(spark).collect()])
+    assert found == [[(DAYS[2], 2.0)], [(DAYS[0], 5.0)], [(DAYS[0], 5.0)]]
