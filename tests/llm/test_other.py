@@ -256,6 +256,65 @@ def test_language_model(documents, monkeypatch):
     assert sum(r["score"] for r in found) > sum(r["base_score"] for r in found)
 
 
+def test_rare_words_have_classes_of_their_own(documents, monkeypatch):
+    monkeypatch.setattr(class_lm, "ITEM_WORDS", 2)
+    monkeypatch.setattr(class_lm, "COMMON", 3)
+    # both kinds of words end alike, and only their neighbours tell them apart
+    texts = [f"the a{i}xing is b{j}xing" for i in range(6) for j in range(6)]
+    rows = [(i, t, None, None) for i, t in enumerate([*texts, "the a1xing is b2xing", "the b2xing is a1xing"])]
+    found = {r["doc_id"]: r for r in class_lm.score(documents(rows), F.col("doc_id") >= len(texts)).collect()}
+    like, unlike = found[len(texts)], found[len(texts) + 1]
+    assert abs(like["base_score"] - unlike["base_score"]) < 1e-9
+    assert like["score"] > unlike["score"] + 0.5
+
+
+def test_language_model_scores_as_its_classes_say(documents, monkeypatch):
+    monkeypatch.setattr(class_lm, "ITEM_WORDS", 3)
+    monkeypatch.setattr(class_lm, "COMMON", 9)
+    monkeypatch.setattr(class_lm, "CHUNK", 50)
+    made = {}
+
+    def kept(name):
+        original = getattr(class_lm, name)
+
+        def wrapped(*args):
+            made[name] = args, original(*args)
+            return made[name][1]
+
+        monkeypatch.setattr(class_lm, name, wrapped)
+
+    for name in ("cluster", "class_of_words", "transition_logs"):
+        kept(name)
+    texts = [" ".join(f"w{min(i * j % 41, (i + j) % 17)}" for j in range(1, i % 13 + 2)) for i in range(80)]
+    rows = [(i, t, None, None) for i, t in enumerate(["", None, *texts, "w1 news w2 olds w1news"])]
+    found = class_lm.score(documents(rows), F.col("doc_id") > 70).collect()
+    words = {bytes(r["word"]): (r["n"], r["class"]) for r in made["class_of_words"][1].collect()}
+    bigrams, counts = Counter(), Counter()
+    for i, text, *_ in rows[:71]:
+        path = [0, *[words[w.encode()][1] for w in (text or "").split()], 0]
+        bigrams.update(zip(path, path[1:]))
+        counts.update((text or "").split())
+    assert {w: n for w, (n, _) in words.items()} == {w.encode(): n for w, n in counts.items()}
+    table = made["cluster"][1][2]
+    assert {(a, b): table[a, b] for a, b in zip(*table.nonzero())} == bigrams
+    assert len({c for _, c in words.values()}) > 3
+    logs, otherwise = made["transition_logs"][1], made["transition_logs"][0][1][1:].argmax() + 1
+    by_ending = {}
+    for word, (_, c) in words.items():
+        by_ending.setdefault(word[-4:], Counter())[c] += 1
+    for row in found:
+        path, emitted = [0], math.log10(71 + 1)
+        for w in (rows[row["doc_id"]][1] or "").encode().split():
+            n, c = words.get(w, (0, None))
+            if c is None:
+                seen = by_ending.get(w[-4:], {otherwise: 1})
+                c = min(seen, key=lambda x: (-seen[x], x))
+            emitted += math.log10(n + 1)
+            path.append(c)
+        expected = emitted + sum(logs[a, b] for a, b in zip(path, [*path[1:], 0]))
+        assert abs(row["score"] - expected) < 1e-6, row
+
+
 def test_language_model_on_nothing(documents):
     assert class_lm.score(documents([]), F.lit(False)).count() == 0
 
